@@ -12,6 +12,7 @@ the distinct texts of that doc_id.  Rows that repeat a document altogether share
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -53,9 +54,14 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder and read again: no lineage, and no loss with an executor."""
-    path = scratch(df.sparkSession, "cut")
+    spark, schema = df.sparkSession, df.schema
+    path = scratch(spark, "cut")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    del df
+    # shuffle files of steps that are over go when the driver collects its garbage
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def width(spark: SparkSession) -> int:

@@ -6,10 +6,12 @@ their sets of SHINGLE-character shingles (a shorter line is one shingle by itsel
 component of alike lines the first, by doc_id and place, stays.
 
 * Equal lines are one node: their 64-bit hash, with a second hash and the length beside it.
-* Signature: hashes of shingles, of which those are taken that start a line or stand behind a
-  character other than an ASCII letter or digit -- a choice that follows from the content, so alike
-  lines make it alike, and about one in six of running text; scripts without spaces give all.
-  For each of 2 * BANDS constants the least hash under exclusive-or with it is kept.
+* Signature: hashes of runs of characters from the start of a word to the end of the next one -- a
+  choice of shingles that follows from the content, so alike lines make it alike, about one for six
+  characters; lines whose words are long, as in scripts without spaces, give all SHINGLE-character
+  shingles instead.
+  One-permutation hashing: the hashes fall into 16 bins by their first bits, the least of a bin is its
+  value, and an empty bin borrows from the next (Shrivastava and Li 2014).
 * Banding: two values a band.  At a similarity of 0.8 a pair meets with 1 - (1 - 0.64)^6 = 0.998.
 * Lines of a band that meet are candidates: all pairs in a bucket of up to SMALL lines.  Larger
   buckets are dealt anew by each other band of the signature; what is still larger there is lines
@@ -31,11 +33,10 @@ from pyspark.sql import functions as F
 from toolloom.llm.common import cut, table
 from toolloom.llm.components import components
 
-SHINGLE, SIMILARITY, BANDS, SMALL = 9, 0.8, 6, 8
-#: Constants of the 2 * BANDS least values.
-XOR = [(0x9E3779B97F4A7C15 * (k + 1) + 0x632BE59BD9B4E019) % 2**64 - 2**63 for k in range(2 * BANDS)]
-#: Shingles at content-defined places: the line's start, or behind a character that is no ASCII letter or digit.
-CHOSEN = rf"(?s)(?<![a-z0-9])(?=(.{{{SHINGLE}}}))"
+SHINGLE, SIMILARITY, BANDS, SMALL = 12, 0.8, 6, 8
+BINS = 16
+#: Orders in which neighbours are compared in large buckets.
+ORDERS = (0, 0x1E3779B97F4A7C15, 0x632BE59BD9B4E019)
 EVERY = rf"(?s)(?=(.{{{SHINGLE}}}))"
 
 
@@ -53,17 +54,27 @@ def node(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("k"), (F.shiftleft(F.hash(line).cast("long"), 32).bitwiseOR(F.length(line))).alias("k2")]
 
 
-def shingle_hashes(line: Column, pattern: str) -> Column:
-    found = F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(1)), lambda x: F.xxhash64(x))
+def shingle_hashes(line: Column) -> Column:
+    found = F.transform(F.regexp_extract_all(line, F.lit(EVERY), F.lit(1)), lambda x: F.xxhash64(x))
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.xxhash64(line)))
 
 
+def chosen_hashes(hashes: str, line: Column) -> Column:
+    """Hashes of the shingles from word to word; `hashes` names an array column of the words' hashes."""
+    own = F.transform(hashes, lambda x, i: x.bitwiseXOR(F.shiftleft(F.coalesce(F.get(hashes, i + 1), F.lit(0)), 1)))
+    return F.when(F.length(line) > 24 * F.size(hashes), shingle_hashes(line)).otherwise(own)
+
+
 def bands(rows: DataFrame) -> DataFrame:
-    """k, k2 and band values b0, b1, ... of each distinct line."""
-    h = rows.select(*node(F.col("line")), shingle_hashes(F.col("line"), CHOSEN).alias("h"))
-    least = [F.array_min(F.transform("h", (lambda c: lambda x: x.bitwiseXOR(F.lit(c)))(c))) for c in XOR]
-    signed = h.select("k", "k2", *(F.xxhash64(least[2 * b], least[2 * b + 1]).alias(f"b{b}") for b in range(BANDS)))
-    return signed.groupBy("k", "k2").agg(*(F.first(f"b{b}").alias(f"b{b}") for b in range(BANDS)))
+    """k, k2 and values (an array of one for each band) of each distinct line."""
+    w = rows.select("line", F.transform(F.split("line", " "), lambda x: F.xxhash64(x)).alias("hw"))
+    h = w.select(*node(F.col("line")), F.sort_array(chosen_hashes("hw", F.col("line"))).alias("h"))
+    h = h.withColumn("bin", F.transform("h", lambda x: F.shiftrightunsigned(x, 60)))
+    at = h.select("k", "k2", "h", *(F.nullif(F.array_position("bin", F.lit(b).cast("long")), F.lit(0)).alias(f"p{b}") for b in range(BINS)))
+    least = at.select("k", "k2", *(F.element_at("h", F.coalesce(*(F.col(f"p{(b + i) % BINS}") for i in range(BINS))).cast("int")).alias(f"s{b}") for b in range(2 * BANDS)))
+    signed = least.select("k", "k2", *(F.xxhash64(F.lit(b), F.col(f"s{2 * b}"), F.col(f"s{2 * b + 1}")).alias(f"b{b}") for b in range(BANDS)))
+    one = signed.groupBy("k", "k2").agg(*(F.first(f"b{b}").alias(f"b{b}") for b in range(BANDS)))
+    return one.select("k", "k2", F.array(*(f"b{b}" for b in range(BANDS))).alias("values"))
 
 
 def within(buckets: DataFrame, by: list[str], small: int = SMALL) -> DataFrame:
@@ -78,17 +89,15 @@ def within(buckets: DataFrame, by: list[str], small: int = SMALL) -> DataFrame:
 
 def candidates(signed: DataFrame) -> DataFrame:
     """Distinct pairs a < b of nodes worth comparing."""
-    dealt = signed.select("k", "k2", *(f"b{b}" for b in range(BANDS)), F.posexplode(F.array(*(F.col(f"b{b}") for b in range(BANDS)))).alias("band", "value"))
-    sizes = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = cut(dealt.join(sizes, ["band", "value"]))
-    pairs = within(met.where(F.col("n") <= SMALL).select("band", "value", "k", "k2"), ["band", "value"])
-    large = met.where(F.col("n") > SMALL)
-    again = large.select("k", "k2", "band", "value", F.posexplode(F.array(*(F.col(f"b{b}") for b in range(BANDS)))).alias("band2", "value2")).where("band2 <> band")
-    again = again.select("k", "k2", F.xxhash64("band", "value", "band2", "value2").alias("g"))
-    # three orders, as the node's hash under three constants
-    orders = [again.withColumn("k", F.col("k").bitwiseXOR(F.lit(c))) for c in (0, XOR[0], XOR[1])]
-    for c, o in zip((0, XOR[0], XOR[1]), orders):
-        found = within(o, ["g"])
+    dealt = signed.select(F.explode("values").alias("v"), "k", "k2").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("v"))).where("n > 1")
+    met = cut(dealt)
+    pairs = within(met.where(F.col("n") <= SMALL), ["v"])
+    # another band of the same line for each of its large buckets: pairs of bands, in one order
+    large = met.where(F.col("n") > SMALL).select("v", "k", "k2").join(signed, ["k", "k2"]).select("k", "k2", "v", F.explode("values").alias("v2")).where("v < v2")
+    again = cut(large.select("k", "k2", F.xxhash64("v", "v2").alias("g")))
+    for c in ORDERS:
+        turn = F.col("k").bitwiseXOR(F.lit(c))
+        found = within(again.withColumn("k", turn), ["g"])
         back = lambda s, c=c: F.struct(F.col(f"{s}.k").bitwiseXOR(F.lit(c)).alias("k"), F.col(f"{s}.k2").alias("k2"))
         pairs = pairs.unionByName(found.select(back("a").alias("a"), back("b").alias("b")))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -98,7 +107,7 @@ def links(rows: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) ->
     """Pairs at least as alike as `similarity`, by all their shingles."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("x")).select("x.k", "x.k2").distinct()
     texts = rows.select(*node(F.col("line")), "line").join(ends, ["k", "k2"], "left_semi").groupBy("k", "k2").agg(F.first("line").alias("line"))
-    sets = cut(texts.select(F.struct("k", "k2").alias("x"), F.array_distinct(shingle_hashes(F.col("line"), EVERY)).alias("s")))
+    sets = cut(texts.select(F.struct("k", "k2").alias("x"), F.array_distinct(shingle_hashes(F.col("line"))).alias("s")))
     both = pairs.join(sets.select(F.col("x").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("x").alias("b"), F.col("s").alias("sb")), "b")
     # sizes alone rule most pairs out that are not alike
     near = both.where((F.least(F.size("sa"), F.size("sb")) >= similarity * F.greatest(F.size("sa"), F.size("sb"))))
