@@ -56,12 +56,15 @@ def cut(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder and read again: no lineage, and no loss with an executor."""
     spark, schema = df.sparkSession, df.schema
     path = scratch(spark, "cut")
+    sweep(spark)
     df.write.option("compression", "zstd").parquet(path)
-    del df
-    # shuffle files of steps that are over go when the driver collects its garbage
+    return spark.read.schema(schema).parquet(path)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Let go of the shuffle files of steps that are over; else they stay until the driver happens to collect its garbage."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
 
 
 def width(spark: SparkSession) -> int:
