@@ -143,7 +143,7 @@ def remove_repeats(docs: DataFrame, block: int = BLOCK, text: bool = True) -> Da
     """doc_id, kept text (words joined by one space), n_words, n_removed, spans [(from, to)] of removed words."""
     spark = docs.sparkSession
     light(spark)
-    n = 2 * width(spark)
+    n = width(spark)
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     own = dealt(docs, n)
     hits = anchor_hits(anchors(docs, n, block), n, block)

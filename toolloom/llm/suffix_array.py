@@ -284,7 +284,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary)."""
     spark = docs.sparkSession
     light(spark)
-    n = 2 * width(spark)
+    n = width(spark)
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     own = dealt(docs, n)
     found = merge(shards(own, meetings(grams(docs, n), n), n, window, gram), n)
