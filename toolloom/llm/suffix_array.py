@@ -240,6 +240,10 @@ def shards(docs: DataFrame, met: DataFrame, n: int, window: int = WINDOW, gram:
                 continue
             # strings that hold the gram at p start in p - (window - gram) .. p
             near = cover(np.unique(np.maximum(p - (window - gram), 0)), window - gram + 1, m)
+            # and of those only strings whose own least gram has met another
+            h = rolling(np.frombuffer(t, np.uint8), gram)
+            h[h == TOP] = 0
+            near &= np.isin(sliding(h, window - gram + 1, up=False), h[p])
             for s, e in regions(near, window):
                 parts.append(t[s:e])
                 doc.append(ids[i])
