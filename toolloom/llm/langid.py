@@ -202,7 +202,12 @@ def held_out() -> Column:
 def train(docs: DataFrame, most: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Network | None:
     """Fit to at most `most` whole labelled rows that are not held out, picked by a hash of their doc_id."""
     rows = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and doc_id is not null").where(~held_out()).where(F.length("text") <= chars)
-    picked = rows.select("text", "lang", F.xxhash64("doc_id").alias("h"), "doc_id").orderBy("h", "doc_id", "lang", "text").limit(most).collect()
+    keyed = rows.select(F.xxhash64("doc_id").alias("h"), "doc_id", "lang", "text")
+    # the bound first, from hashes alone: so no partition sends more texts than those that are picked
+    bound = keyed.select("h").orderBy("h").limit(most).agg(F.max("h")).collect()[0][0]
+    if bound is None:
+        return None
+    picked = keyed.where(F.col("h") <= bound).orderBy("h", "doc_id", "lang", "text").limit(most).collect()
     return fit([r["text"].encode() for r in picked], [r["lang"] for r in picked])
 
 
