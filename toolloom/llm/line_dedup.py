@@ -38,7 +38,8 @@ SHINGLE, SIMILARITY, BANDS, SMALL, AGREE = 12, 0.8, 6, 8, 5
 BINS = 16
 #: Orders in which neighbours are compared in large buckets.
 ORDERS = (0, 0x1E3779B97F4A7C15, 0x632BE59BD9B4E019)
-EVERY = rf"(?s)(?=(.{{{SHINGLE}}}))"
+#: Characters of the parts in which shingles are taken.
+LONG, SHORT = 4096, 64
 
 
 def folded(line: Column) -> Column:
@@ -55,25 +56,39 @@ def node(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("k"), (F.shiftleft(F.hash(line).cast("long"), 32).bitwiseOR(F.length(line))).alias("k2")]
 
 
+def windows(text: Column, size: int) -> Column:
+    """Parts of `size` characters and SHINGLE - 1 more; the last may be shorter. For texts of SHINGLE characters or more."""
+    at = F.sequence(F.lit(0), F.floor((F.length(text) - SHINGLE) / size).cast("int"))
+    return F.transform(at, lambda i: F.substr(text, i * size + 1, F.lit(size + SHINGLE - 1)))
+
+
 def shingle_hashes(line: Column) -> Column:
-    found = F.transform(F.regexp_extract_all(line, F.lit(EVERY), F.lit(1)), lambda x: F.xxhash64(x))
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.xxhash64(line)))
+    """Hashes of all shingles in order.
+
+    A substring is found by a walk from the start of its text, so lines are cut twice, first into long
+    and then into short parts, and the shingles of a short part are one expression without a lambda.
+    """
+    parts = F.flatten(F.transform(windows(line, LONG), lambda x: windows(x, SHORT)))
+    hashes = F.flatten(F.transform(parts, lambda x: F.array(*(F.xxhash64(F.substring(x, i + 1, SHINGLE)) for i in range(SHORT)))))
+    # what lies beyond the last whole shingle goes
+    return F.when(F.length(line) >= SHINGLE, F.slice(hashes, 1, F.length(line) - SHINGLE + 1)).otherwise(F.array(F.xxhash64(line)))
 
 
-def chosen_hashes(hashes: str, line: Column) -> Column:
-    """Hashes of the shingles from word to word; `hashes` names an array column of the words' hashes."""
-    own = F.transform(hashes, lambda x, i: x.bitwiseXOR(F.shiftleft(F.coalesce(F.get(hashes, i + 1), F.lit(0)), 1)))
-    return F.when(F.length(line) > 24 * F.size(hashes), shingle_hashes(line)).otherwise(own)
+def chosen_hashes(rows: DataFrame) -> DataFrame:
+    """k, k2 and h, a hash of a chosen shingle, for each shingle chosen from each line."""
+    w = rows.select("line", F.split("line", " ").alias("w"))
+    wordless = F.length("line") > 24 * F.size("w")
+    runs = w.where(~wordless).select(*node(F.col("line")), F.explode(F.arrays_zip(F.col("w").alias("x"), F.slice("w", 2, F.size("w")).alias("y"))).alias("p"))
+    after = F.when(F.col("p.y").isNull(), F.lit(0).cast("long")).otherwise(F.shiftleft(F.xxhash64("p.y"), 1))
+    every = w.where(wordless).select(*node(F.col("line")), F.explode(shingle_hashes(F.col("line"))).alias("h"))
+    return runs.select("k", "k2", F.xxhash64("p.x").bitwiseXOR(after).alias("h")).unionByName(every)
 
 
 def bands(rows: DataFrame) -> DataFrame:
     """k, k2, sig (16 least hashes) and values (one for each band) of each distinct line."""
-    w = rows.select("line", F.transform(F.split("line", " "), lambda x: F.xxhash64(x)).alias("hw"))
-    h = w.select(*node(F.col("line")), F.sort_array(chosen_hashes("hw", F.col("line"))).alias("h"))
-    h = h.withColumn("bin", F.transform("h", lambda x: F.shiftrightunsigned(x, 60)))
-    at = h.select("k", "k2", "h", *(F.nullif(F.array_position("bin", F.lit(b).cast("long")), F.lit(0)).alias(f"p{b}") for b in range(BINS)))
-    sig = at.select("k", "k2", F.array(*(F.element_at("h", F.coalesce(*(F.col(f"p{(b + i) % BINS}") for i in range(BINS))).cast("int")) for b in range(BINS))).alias("sig"))
-    one = sig.groupBy("k", "k2").agg(F.first("sig").alias("sig"))
+    h = chosen_hashes(rows).withColumn("bin", F.shiftrightunsigned("h", 60))
+    least = h.groupBy("k", "k2").agg(*(F.min(F.when(F.col("bin") == b, F.col("h"))).alias(f"p{b}") for b in range(BINS)))
+    one = least.select("k", "k2", F.array(*(F.coalesce(*(F.col(f"p{(b + i) % BINS}") for i in range(BINS))) for b in range(BINS))).alias("sig"))
     return one.select("k", "k2", "sig", F.array(*(F.xxhash64(F.lit(b), F.col("sig")[2 * b], F.col("sig")[2 * b + 1]) for b in range(BANDS))).alias("values"))
 
 
