@@ -42,3 +42,18 @@ def write_texts(df: DataFrame, path: str, column: str = "text") -> None:
 def write_counts(df: DataFrame, path: str) -> None:
     """function_name,count with a header, in rank order; one row for each tool name."""
     df.orderBy("rank").select("function_name", "count").coalesce(1).write.option("header", "true").mode("overwrite").csv(path)
+
+
+def read_json_array(spark: SparkSession, path: str) -> DataFrame:
+    """file, position and value (variant) of the items of files that hold one JSON list each; other files are an error."""
+    whole = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("v"))
+    checked = whole.select("file", F.when(F.schema_of_variant("v").startswith("ARRAY"), F.col("v")).otherwise(F.raise_error(F.lit("a file that holds no JSON list"))).alias("v"))
+    return checked.select("file", F.posexplode(F.col("v").try_cast("array<variant>")).alias("position", "value"))
+
+
+def read_alias_map(spark: SparkSession, path: str) -> DataFrame:
+    """function_name, alias from a JSON object; pairs that aren't texts are passed over."""
+    whole = spark.read.option("wholetext", "true").text(path)
+    pairs = F.from_json("value", "map<string,variant>", {"mode": "FAILFAST"})
+    rows = whole.select(F.explode(pairs).alias("function_name", "v"))
+    return rows.where(F.schema_of_variant("v") == "STRING").select("function_name", F.col("v").cast("string").alias("alias"))
