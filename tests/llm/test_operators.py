@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
 from toolloom.llm import chat, decontaminate, langid, line_dedup, packing, quality, simhash, substring, suffix_array, token_files, tokens
 
 SF = "/root/testdata/sf0.001"
@@ -206,3 +207,13 @@ def test_lines(spark):
 @pytest.mark.parametrize("run", [substring.remove_repeats, suffix_array.remove_repeats, simhash.near_components, line_dedup.dedup_lines, packing.pack])
 def test_empty_table(spark, run):
     assert run(frame(spark, [])).count() == 0
+
+
+def test_line_shingles_of_any_length(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcé語😀 ") for _ in range(n)) for n in (1, 11, 12, 13, 75, 76, 139, 140, 4106, 4107, 4108, 9000)]
+    size = line_dedup.SHINGLE
+    parts = [(i, j, t[j : j + size]) for i, t in enumerate(texts) for j in range(max(1, len(t) - size + 1))]
+    want = spark.createDataFrame(parts, "i int, j int, s string").selectExpr("i", "j", "xxhash64(s) h").collect()
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", line_dedup.shingle_hashes(F.col("t")).alias("h")).collect()
+    assert sorted((r["i"], j, h) for r in got for j, h in enumerate(r["h"])) == sorted(map(tuple, want))
