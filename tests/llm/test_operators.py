@@ -217,3 +217,33 @@ def test_line_shingles_of_any_length(spark):
     want = spark.createDataFrame(parts, "i int, j int, s string").selectExpr("i", "j", "xxhash64(s) h").collect()
     got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", line_dedup.shingle_hashes(F.col("t")).alias("h")).collect()
     assert sorted((r["i"], j, h) for r in got for j, h in enumerate(r["h"])) == sorted(map(tuple, want))
+
+
+def lines_against_brute_force(spark, texts, least_links=1):
+    """Each text is one line: those that go by all pairs of shingle sets, and by the operator."""
+    size = line_dedup.SHINGLE
+    low = [t.strip(" ").lower() for t in texts]
+    sets = [{t[k : k + size] for k in range(max(1, len(t) - size + 1))} for t in low]
+    part, links = list(range(len(texts))), 0
+    for a in range(len(texts)):
+        for b in range(a):
+            if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+                links += 1
+                x, y = part[a], part[b]
+                if x != y:
+                    part = [min(x, y) if p in (x, y) else p for p in part]
+    assert links >= least_links
+    rows = {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup_lines(frame(spark, texts)).collect()}
+    assert [i for i in range(len(texts)) if rows[i]] == [i for i, p in enumerate(part) if p != i]
+
+
+def test_lines_of_one_template(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    base, texts = [word() for _ in range(45)], []
+    for _ in range(120):
+        w = list(base)
+        for k in rng.sample(range(45), rng.choice((1, 2))):
+            w[k] = word()
+        texts.append(" ".join(w))
+    lines_against_brute_force(spark, texts, 50)

@@ -13,13 +13,17 @@ component of alike lines the first, by doc_id and place, stays.
   One-permutation hashing: the hashes fall into 16 bins by their first bits, the least of a bin is its
   value, and an empty bin borrows from the next (Shrivastava and Li 2014).
 * Banding: two values a band.  At a similarity of 0.8 a pair meets with 1 - (1 - 0.64)^6 = 0.998.
-* Lines of a band that meet are candidates: all pairs in a bucket of up to SMALL lines.  Larger
-  buckets are dealt anew by each other band of the signature; what is still larger there is lines
-  alike in four values at least, whose neighbours in three orders (the hash, and the hash under two
-  constants) are compared instead of all pairs, so that candidates stay in proportion to the lines.
-* Candidates must agree in AGREE of the 16 signature values (a pair at 0.8 fails that with 0.00002, one
-  whose runs are alike by 0.6 with 0.005), and are then verified by the exact similarity of all
-  their shingles; union-find over the links gives the components.
+* Lines of a band that meet are candidates: all pairs in a bucket of up to SMALL lines.  Lines of
+  larger buckets are joined with each other exactly, whatever the bucket, by a prefix filter: in one
+  order of all their shingles, the rarest first, two lines at `similarity` share one of the first
+  n - ceil(similarity * n) + 1 of each.  Lines that share one are all compared in groups of up to GROUP;
+  in larger groups first neighbours in the order of the hash, and then, once the components of these
+  links are known, all pairs of different components (pairs within a component add nothing to it).
+* Candidates are verified by the exact similarity of all their shingles; union-find over the links
+  gives the components.
+
+Cost: the last step compares all pairs of different components in a group, in squares of BLOCK lines,
+so many lines that are nearly, but not quite, alike take time that grows with their number squared.
 
 Defined results: null texts have no lines and stay null; empty texts are one empty line; lines of
 rows that repeat a document are the same lines; texts of any length are whole; an empty table gives
@@ -34,10 +38,10 @@ from pyspark.sql import functions as F
 from toolloom.llm.common import cut, table
 from toolloom.llm.components import components
 
-SHINGLE, SIMILARITY, BANDS, SMALL, AGREE = 12, 0.8, 6, 8, 5
+SHINGLE, SIMILARITY, BANDS, SMALL = 12, 0.8, 6, 8
 BINS = 16
-#: Orders in which neighbours are compared in large buckets.
-ORDERS = (0, 0x1E3779B97F4A7C15, 0x632BE59BD9B4E019)
+#: Lines of a group of the exact join that are compared at once, and the side of a square of the rest.
+GROUP, BLOCK = 32, 256
 #: Characters of the parts in which shingles are taken.
 LONG, SHORT = 4096, 64
 
@@ -85,11 +89,11 @@ def chosen_hashes(rows: DataFrame) -> DataFrame:
 
 
 def bands(rows: DataFrame) -> DataFrame:
-    """k, k2, sig (16 least hashes) and values (one for each band) of each distinct line."""
+    """k, k2 and values (one for each band, from 16 least hashes) of each distinct line."""
     h = chosen_hashes(rows).withColumn("bin", F.shiftrightunsigned("h", 60))
     least = h.groupBy("k", "k2").agg(*(F.min(F.when(F.col("bin") == b, F.col("h"))).alias(f"p{b}") for b in range(BINS)))
-    one = least.select("k", "k2", F.array(*(F.coalesce(*(F.col(f"p{(b + i) % BINS}") for i in range(BINS))) for b in range(BINS))).alias("sig"))
-    return one.select("k", "k2", "sig", F.array(*(F.xxhash64(F.lit(b), F.col("sig")[2 * b], F.col("sig")[2 * b + 1]) for b in range(BANDS))).alias("values"))
+    one = least.select("k", "k2", *(F.coalesce(*(F.col(f"p{(b + i) % BINS}") for i in range(BINS))).alias(f"s{b}") for b in range(2 * BANDS)))
+    return one.select("k", "k2", F.array(*(F.xxhash64(F.lit(b), f"s{2 * b}", f"s{2 * b + 1}") for b in range(BANDS))).alias("values"))
 
 
 def within(buckets: DataFrame, by: list[str], small: int = SMALL) -> DataFrame:
@@ -102,24 +106,46 @@ def within(buckets: DataFrame, by: list[str], small: int = SMALL) -> DataFrame:
     return after.select("a", F.explode(F.array(*(f"n{i}" for i in range(1, small)))).alias("b")).where("b.k is not null")
 
 
-def candidates(signed: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of nodes worth comparing."""
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def candidates(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs a < b of nodes that meet in small buckets, and the nodes (k, k2) of large ones."""
     dealt = signed.select(F.explode("values").alias("v"), "k", "k2").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("v"))).where("n > 1")
     met = cut(dealt)
-    pairs = within(met.where(F.col("n") <= SMALL), ["v"])
-    # another band of the same line for each of its large buckets: pairs of bands, in one order
-    large = met.where(F.col("n") > SMALL).select("v", "k", "k2").join(signed, ["k", "k2"]).select("k", "k2", "v", F.explode("values").alias("v2")).where("v < v2")
-    again = cut(large.select("k", "k2", F.xxhash64("v", "v2").alias("g")))
-    for c in ORDERS:
-        turn = F.col("k").bitwiseXOR(F.lit(c))
-        found = within(again.withColumn("k", turn), ["g"])
-        back = lambda s, c=c: F.struct(F.col(f"{s}.k").bitwiseXOR(F.lit(c)).alias("k"), F.col(f"{s}.k2").alias("k2"))
-        pairs = pairs.unionByName(found.select(back("a").alias("a"), back("b").alias("b")))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    sigs = signed.select(F.struct("k", "k2").alias("x"), "sig")
-    both = pairs.join(sigs.select(F.col("x").alias("a"), F.col("sig").alias("sa")), "a").join(sigs.select(F.col("x").alias("b"), F.col("sig").alias("sb")), "b")
-    agree = sum(((F.col("sa")[i] == F.col("sb")[i]).cast("int") for i in range(1, BINS)), (F.col("sa")[0] == F.col("sb")[0]).cast("int"))
-    return both.where(agree >= AGREE).select("a", "b")
+    return ordered(within(met.where(F.col("n") <= SMALL), ["v"])).distinct(), met.where(F.col("n") > SMALL).select("k", "k2").distinct()
+
+
+def prefixes(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """s, k, k2, n, m: the shingles (s) of each node's prefix that m > 1 nodes have there; n is how many the node has in all."""
+    texts = rows.select(*node(F.col("line")), "line").join(nodes, ["k", "k2"], "left_semi").groupBy("k", "k2").agg(F.first("line").alias("line"))
+    every = cut(texts.select("k", "k2", F.array_distinct(shingle_hashes(F.col("line"))).alias("h")).select("k", "k2", F.size("h").alias("n"), F.explode("h").alias("s")))
+    counts = every.groupBy("s").agg(F.count(F.lit(1)).alias("c"))
+    place = F.row_number().over(Window.partitionBy("k", "k2").orderBy("c", "s"))
+    first = every.join(counts, "s").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1)
+    return first.select("s", "k", "k2", "n").withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("s"))).where("m > 1")
+
+
+def near_pairs(shared: DataFrame) -> DataFrame:
+    """Pairs a < b of nodes that share a shingle of their prefixes: all in groups of up to GROUP, neighbours in larger ones."""
+    all_of = within(shared.where(F.col("m") <= GROUP), ["s"], GROUP)
+    return ordered(all_of.unionByName(within(shared.where(F.col("m") > GROUP), ["s"]))).distinct()
+
+
+def rest_pairs(shared: DataFrame, grouped: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs a < b of groups larger than GROUP that are not in one component, of sizes that can be alike.
+
+    grouped: k, k2, component.
+    """
+    own = shared.where(F.col("m") > GROUP).join(grouped, ["k", "k2"], "left").select("s", "n", "m", F.struct("k", "k2").alias("x"), F.coalesce("component", F.struct("k", "k2")).alias("c"))
+    mixed = own.groupBy("s").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("s")
+    wide = F.ceil(F.col("m") / BLOCK).cast("int")
+    placed = own.join(mixed, "s", "left_semi").withColumn("wide", wide).withColumn("at", F.pmod(F.xxhash64("x"), F.col("wide")).cast("int"))
+    left = placed.select("s", "at", F.explode(F.sequence("at", F.col("wide") - 1)).alias("to"), F.col("x").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"))
+    right = placed.select("s", F.col("at").alias("to"), F.explode(F.sequence(F.lit(0), "at")).alias("at"), F.col("x").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"))
+    alike = F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9
+    return ordered(left.join(right, ["s", "at", "to"]).where((F.col("ca") != F.col("cb")) & alike & ((F.col("at") != F.col("to")) | (F.col("a") < F.col("b"))))).distinct()
 
 
 def links(rows: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -136,9 +162,16 @@ def links(rows: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) ->
 def line_components(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """All lines with their nodes, and (k, k2, component) for the nodes that link to another."""
     rows = lines(docs)
-    pairs = cut(candidates(cut(bands(rows))))
+    pairs, nodes = candidates(cut(bands(rows)))
+    shared = cut(prefixes(rows, nodes, similarity))
+    pairs = cut(pairs.unionByName(near_pairs(shared)).distinct())
     linked = cut(links(rows, pairs, similarity))
-    return rows.select("doc_id", "th", "line_no", *node(F.col("line"))), components(linked).select("node.k", "node.k2", "component")
+    grouped = components(linked).select("node.k", "node.k2", "component")
+    if not shared.where(F.col("m") > GROUP).isEmpty():
+        more = cut(links(rows, cut(rest_pairs(shared, grouped, similarity)), similarity))
+        if not more.isEmpty():
+            grouped = components(linked.unionByName(more)).select("node.k", "node.k2", "component")
+    return rows.select("doc_id", "th", "line_no", *node(F.col("line"))), grouped
 
 
 def line_flags(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
