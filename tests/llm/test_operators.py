@@ -247,3 +247,9 @@ def test_lines_of_one_template(spark):
             w[k] = word()
         texts.append(" ".join(w))
     lines_against_brute_force(spark, texts, 50)
+
+
+def test_short_lines_edited_at_an_end(spark):
+    base = ["newsletter subscription", "frequently asked questions", "telecommunications", "read more about the terms of use", "copyright notice and disclaimer of warranty"]
+    texts = [v for t in base for v in (t, t + "!", t + "\r", "\u2022" + t, t[: len(t) // 2] + "-" + t[len(t) // 2 :])]
+    lines_against_brute_force(spark, texts, 10)

@@ -6,15 +6,13 @@ their sets of SHINGLE-character shingles (a shorter line is one shingle by itsel
 component of alike lines the first, by doc_id and place, stays.
 
 * Equal lines are one node: their 64-bit hash, with a second hash and the length beside it.
-* Signature: hashes of runs of characters from the start of a word to the end of the next one -- a
-  choice of shingles that follows from the content, so alike lines make it alike, about one for six
-  characters; lines whose words are long, as in scripts without spaces, give all SHINGLE-character
-  shingles instead.
+* Signature: hashes of all SHINGLE-character shingles, the same that verification uses.
   One-permutation hashing: the hashes fall into 16 bins by their first bits, the least of a bin is its
   value, and an empty bin borrows from the next (Shrivastava and Li 2014).
 * Banding: two values a band.  At a similarity of 0.8 a pair meets with 1 - (1 - 0.64)^6 = 0.998.
 * Lines of a band that meet are candidates: all pairs in a bucket of up to SMALL lines.  Lines of
-  larger buckets are joined with each other exactly, whatever the bucket, by a prefix filter: in one
+  larger buckets, and lines of up to FEW shingles (whose bins are mostly empty, so that the recall above
+  does not hold), are joined with each other exactly, whatever the bucket, by a prefix filter: in one
   order of all their shingles, the rarest first, two lines at `similarity` share one of the first
   n - ceil(similarity * n) + 1 of each.  Lines that share one are all compared in groups of up to GROUP;
   in larger groups first neighbours in the order of the hash, and then, once the components of these
@@ -42,6 +40,8 @@ SHINGLE, SIMILARITY, BANDS, SMALL = 12, 0.8, 6, 8
 BINS = 16
 #: Lines of a group of the exact join that are compared at once, and the side of a square of the rest.
 GROUP, BLOCK = 32, 256
+#: Shingles up to which a line is joined exactly besides: a pair of which one line has more has 0.8 * FEW in the other.
+FEW = 30
 #: Characters of the parts in which shingles are taken.
 LONG, SHORT = 4096, 64
 
@@ -78,19 +78,9 @@ def shingle_hashes(line: Column) -> Column:
     return F.when(F.length(line) >= SHINGLE, F.slice(hashes, 1, F.length(line) - SHINGLE + 1)).otherwise(F.array(F.xxhash64(line)))
 
 
-def chosen_hashes(rows: DataFrame) -> DataFrame:
-    """k, k2 and h, a hash of a chosen shingle, for each shingle chosen from each line."""
-    w = rows.select("line", F.split("line", " ").alias("w"))
-    wordless = F.length("line") > 24 * F.size("w")
-    runs = w.where(~wordless).select(*node(F.col("line")), F.explode(F.arrays_zip(F.col("w").alias("x"), F.slice("w", 2, F.size("w")).alias("y"))).alias("p"))
-    after = F.when(F.col("p.y").isNull(), F.lit(0).cast("long")).otherwise(F.shiftleft(F.xxhash64("p.y"), 1))
-    every = w.where(wordless).select(*node(F.col("line")), F.explode(shingle_hashes(F.col("line"))).alias("h"))
-    return runs.select("k", "k2", F.xxhash64("p.x").bitwiseXOR(after).alias("h")).unionByName(every)
-
-
 def bands(rows: DataFrame) -> DataFrame:
     """k, k2 and values (one for each band, from 16 least hashes) of each distinct line."""
-    h = chosen_hashes(rows).withColumn("bin", F.shiftrightunsigned("h", 60))
+    h = rows.select(*node(F.col("line")), F.explode(shingle_hashes(F.col("line"))).alias("h")).withColumn("bin", F.shiftrightunsigned("h", 60))
     least = h.groupBy("k", "k2").agg(*(F.min(F.when(F.col("bin") == b, F.col("h"))).alias(f"p{b}") for b in range(BINS)))
     one = least.select("k", "k2", *(F.coalesce(*(F.col(f"p{(b + i) % BINS}") for i in range(BINS))).alias(f"s{b}") for b in range(2 * BANDS)))
     return one.select("k", "k2", F.array(*(F.xxhash64(F.lit(b), f"s{2 * b}", f"s{2 * b + 1}") for b in range(BANDS))).alias("values"))
@@ -163,7 +153,8 @@ def line_components(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Da
     """All lines with their nodes, and (k, k2, component) for the nodes that link to another."""
     rows = lines(docs)
     pairs, nodes = candidates(cut(bands(rows)))
-    shared = cut(prefixes(rows, nodes, similarity))
+    short = rows.where(F.length("line") < SHINGLE + FEW).select(*node(F.col("line"))).distinct()
+    shared = cut(prefixes(rows, nodes.union(short).distinct(), similarity))
     pairs = cut(pairs.unionByName(near_pairs(shared)).distinct())
     linked = cut(links(rows, pairs, similarity))
     grouped = components(linked).select("node.k", "node.k2", "component")
