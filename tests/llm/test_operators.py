@@ -253,3 +253,9 @@ def test_short_lines_edited_at_an_end(spark):
     base = ["newsletter subscription", "frequently asked questions", "telecommunications", "read more about the terms of use", "copyright notice and disclaimer of warranty"]
     texts = [v for t in base for v in (t, t + "!", t + "\r", "\u2022" + t, t[: len(t) // 2] + "-" + t[len(t) // 2 :])]
     lines_against_brute_force(spark, texts, 10)
+
+
+def test_one_word_of_a_line_of_140_characters(spark):
+    line = " ".join(["planet", "garden", "silver", "window", "bridge", "forest", "marble", "yellow", "castle", "pepper", "rocket", "violet", "basket", "copper", "meadow", "hollow", "tunnel", "dragon", "velvet", "canyon"])
+    lines_against_brute_force(spark, [line, line.replace("pepper", "salted")])
+    assert line_dedup.SHINGLE == 9
