@@ -80,7 +80,9 @@ def shingle_hashes(line: Column) -> Column:
 
 def bands(rows: DataFrame) -> DataFrame:
     """k, k2 and values (one for each band, from 16 least hashes) of each distinct line."""
-    h = rows.select(*node(F.col("line")), F.explode(shingle_hashes(F.col("line"))).alias("h")).withColumn("bin", F.shiftrightunsigned("h", 60))
+    # the node before the shingles are dealt out, or it is computed again for each of them
+    own = rows.select(*node(F.col("line")), shingle_hashes(F.col("line")).alias("hs"))
+    h = own.select("k", "k2", F.explode("hs").alias("h")).withColumn("bin", F.shiftrightunsigned("h", 60))
     least = h.groupBy("k", "k2").agg(*(F.min(F.when(F.col("bin") == b, F.col("h"))).alias(f"p{b}") for b in range(BINS)))
     one = least.select("k", "k2", *(F.coalesce(*(F.col(f"p{(b + i) % BINS}") for i in range(BINS))).alias(f"s{b}") for b in range(2 * BANDS)))
     return one.select("k", "k2", F.array(*(F.xxhash64(F.lit(b), f"s{2 * b}", f"s{2 * b + 1}") for b in range(BANDS))).alias("values"))
