@@ -12,7 +12,7 @@ def neighbours(profiles: DataFrame, k: int) -> DataFrame:
     """function_name, other, score: the k tools with most tokens in common, ties by falling name.
 
     Tokens that every tool has add the same to each score and are left out; a tool with fewer than k
-    partners in common words is filled up by `backfill`.
+    partners in common words has fewer rows (filling up with tools without common words is not done yet).
     """
     total = profiles.count()
     words = profiles.select("function_name", F.explode("tokens").alias("token"))
