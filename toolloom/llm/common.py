@@ -17,6 +17,8 @@ import os
 import tempfile
 import uuid
 import zlib
+from contextlib import contextmanager
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -38,10 +40,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows without a doc_id count as documents after all others.
+LAST = (1 << 63) - 1
+
+
+def doc_key(name: str = "doc_id"):
+    """The doc_id as a long; a null one counts as LAST."""
+    return F.coalesce(F.col(name).cast("long"), F.lit(LAST))
+
+
+def doc_name(name: str = "doc_id"):
+    """The doc_id that a key stands for: null again for LAST."""
+    return F.when(F.col(name) != LAST, F.col(name)).alias(name)
+
+
+def keyed(docs: DataFrame, *names: str) -> DataFrame:
+    """doc_id (as a key) and text, and further columns `names`."""
+    return docs.select(doc_key().alias("doc_id"), "text", *names)
+
+
+def unkeyed(rows: DataFrame) -> DataFrame:
+    return rows.select(*(doc_name() if c == "doc_id" else F.col(c) for c in rows.columns))
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one where it is unset."""
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one where it is unset and all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="toolloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -61,6 +88,24 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+@contextmanager
+def workspace(spark: SparkSession):
+    """A function like cut() whose tables go when the block ends; what outlives it is written by cut()."""
+    base, number = scratch(spark, "work"), count()
+
+    def own(df: DataFrame) -> DataFrame:
+        schema, path = df.schema, f"{base}/{next(number)}"
+        sweep(spark)
+        df.write.option("compression", "zstd").parquet(path)
+        return spark.read.schema(schema).parquet(path)
+
+    try:
+        yield own
+    finally:
+        at = spark._jvm.org.apache.hadoop.fs.Path(base)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def sweep(spark: SparkSession) -> None:
     """Let go of the shuffle files of steps that are over; else they stay until the driver happens to collect its garbage."""
     gc.collect()

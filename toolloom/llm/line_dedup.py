@@ -7,25 +7,26 @@ component of alike lines the first, by doc_id and place, stays.
 
 * Equal lines are one node: their 64-bit hash, with a second hash and the length beside it.
 * Signature: hashes of all SHINGLE-character shingles, the same that verification uses.
-  One-permutation hashing: the hashes fall into 16 bins by their first bits, the least of a bin is its
-  value, and an empty bin borrows from the next (Shrivastava and Li 2014).
-* Banding: two values a band.  At a similarity of 0.8 a pair meets with 1 - (1 - 0.64)^6 = 0.998.
-* Lines of a band that meet are candidates: all pairs in a bucket of up to SMALL lines.  Lines of
-  larger buckets, and lines of up to FEW shingles (whose bins are mostly empty, so that the recall above
-  does not hold), are joined with each other exactly, whatever the bucket, by a prefix filter: in one
-  order of all their shingles, the rarest first, two lines at `similarity` share one of the first
-  n - ceil(similarity * n) + 1 of each.  Lines that share one are all compared in groups of up to GROUP;
-  in larger groups first neighbours in the order of the hash, and then, once the components of these
-  links are known, all pairs of different components (pairs within a component add nothing to it).
+  One-permutation hashing: the hashes fall into BINS bins by their first bits, the least of a bin is
+  its value, and an empty bin borrows from the next that has one (Shrivastava and Li 2014).
+* Banding: BANDS bands of WIDE values.  Lines of a similarity of 0.8 meet with a probability of
+  1 - (1 - 0.8^3)^10 = 0.9992.  That holds for short lines too: a band that lies within the bins
+  borrowed from shared shingles meets, so a pair is lost only if what differs takes part in every band.
+* Candidates: in a bucket of up to SMALL lines all pairs; in a larger one first each line with the least
+  one, and then, once the components of these links are known, all pairs of different components (pairs
+  within a component add nothing to it), in squares of BLOCK lines that are tasks of their own.
+  No pair of lines that meet is left out, but for those whose numbers of shingles rule a link out.
 * Candidates are verified by the exact similarity of all their shingles; union-find over the links
   gives the components.
 
-Cost: the last step compares all pairs of different components in a group, in squares of BLOCK lines,
-so many lines that are nearly, but not quite, alike take time that grows with their number squared.
+Cost: the last step takes time that grows with the square of the lines that share a band and are not
+alike enough to be one component.
 
-Defined results: null texts have no lines and stay null; empty texts are one empty line; lines of
-rows that repeat a document are the same lines; texts of any length are whole; an empty table gives
-no rows; further columns pass through `dedup_lines` untouched.
+Defined results: null texts have no lines and stay null; empty texts are one empty line; a null doc_id
+counts as one after all others; rows that repeat a document have the same lines, and each keeps or
+loses them alike; rows of one doc_id with different texts are told apart by the text's hash; texts of
+any length are whole; an empty table gives no rows.  `dedup_lines` passes further columns through
+whatever their names, but for its own three (n_lines, n_removed, kept), which replace theirs.
 """
 
 from __future__ import annotations
@@ -33,17 +34,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from toolloom.llm.common import cut, table
+from toolloom.llm.common import cut, doc_key, table, workspace
 from toolloom.llm.components import components
 
-SHINGLE, SIMILARITY, BANDS, SMALL = 9, 0.8, 6, 8
-BINS = 16
-#: Lines of a group of the exact join that are compared at once, and the side of a square of the rest.
-GROUP, BLOCK = 32, 256
-#: Shingles up to which a line is joined exactly besides: a pair of which one line has more has 0.8 * FEW in the other.
-FEW = 30
+SHINGLE, SIMILARITY = 9, 0.8
+BINS, BANDS, WIDE = 32, 10, 3
+#: Lines of a bucket that are compared all with each other at once, and the side of a square of the rest.
+SMALL, BLOCK = 16, 256
 #: Characters of the parts in which shingles are taken.
-LONG, SHORT = 4096, 64
+LONG, MIDDLE, SHORT = 4096, 128, 16
+ADDED = ("n_lines", "n_removed", "kept")
 
 
 def folded(line: Column) -> Column:
@@ -51,9 +51,9 @@ def folded(line: Column) -> Column:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text), line_no, line (folded): lines with a word."""
-    rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    return rows.select("doc_id", "th", "line_no", folded(F.col("raw")).alias("line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    """doc (key of the doc_id), th (hash of the text), line_no, line (folded): lines with a word."""
+    rows = docs.where("text is not null").select(doc_key().alias("doc"), F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
+    return rows.select("doc", "th", "line_no", folded(F.col("raw")).alias("line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def node(line: Column) -> list[Column]:
@@ -62,134 +62,138 @@ def node(line: Column) -> list[Column]:
 
 def windows(text: Column, size: int) -> Column:
     """Parts of `size` characters and SHINGLE - 1 more; the last may be shorter. For texts of SHINGLE characters or more."""
-    at = F.sequence(F.lit(0), F.floor((F.length(text) - SHINGLE) / size).cast("int"))
-    return F.transform(at, lambda i: F.substr(text, i * size + 1, F.lit(size + SHINGLE - 1)))
+    return F.transform(F.sequence(F.lit(1), F.length(text) - SHINGLE + 1, F.lit(size)), lambda i: F.substr(text, i, F.lit(size + SHINGLE - 1)))
 
 
 def shingle_hashes(line: Column) -> Column:
     """Hashes of all shingles in order.
 
-    A substring is found by a walk from the start of its text, so lines are cut twice, first into long
-    and then into short parts, and the shingles of a short part are one expression without a lambda.
+    A substring is found by a walk from the start of its text, so lines are cut into ever shorter parts,
+    and the shingles of a short part are one expression without a lambda.
     """
-    parts = F.flatten(F.transform(windows(line, LONG), lambda x: windows(x, SHORT)))
+    parts = F.flatten(F.transform(F.flatten(F.transform(windows(line, LONG), lambda x: windows(x, MIDDLE))), lambda x: windows(x, SHORT)))
     hashes = F.flatten(F.transform(parts, lambda x: F.array(*(F.xxhash64(F.substring(x, i + 1, SHINGLE)) for i in range(SHORT)))))
     # what lies beyond the last whole shingle goes
     return F.when(F.length(line) >= SHINGLE, F.slice(hashes, 1, F.length(line) - SHINGLE + 1)).otherwise(F.array(F.xxhash64(line)))
 
 
-def bands(rows: DataFrame) -> DataFrame:
-    """k, k2 and values (one for each band, from 16 least hashes) of each distinct line."""
-    # the node before the shingles are dealt out, or it is computed again for each of them
-    own = rows.select(*node(F.col("line")), shingle_hashes(F.col("line")).alias("hs"))
-    h = own.select("k", "k2", F.explode("hs").alias("h")).withColumn("bin", F.shiftrightunsigned("h", 60))
-    least = h.groupBy("k", "k2").agg(*(F.min(F.when(F.col("bin") == b, F.col("h"))).alias(f"p{b}") for b in range(BINS)))
-    one = least.select("k", "k2", *(F.coalesce(*(F.col(f"p{(b + i) % BINS}") for i in range(BINS))).alias(f"s{b}") for b in range(2 * BANDS)))
-    return one.select("k", "k2", F.array(*(F.xxhash64(F.lit(b), f"s{2 * b}", f"s{2 * b + 1}") for b in range(BANDS))).alias("values"))
+def least_of_bins(rows: DataFrame) -> DataFrame:
+    """rows with `least`: of the hashes `hs`, the least of each bin; an empty bin has that of the next one that has any.
 
-
-def within(buckets: DataFrame, by: list[str], small: int = SMALL) -> DataFrame:
-    """Pairs (a, b) of nodes of a bucket: each with the `small` - 1 next in the order of the node's hash.
-
-    For buckets of up to `small` lines these are all pairs.
+    The first hash of each bin is 2^64 / BINS times its number.  Put among the hashes and sorted with them,
+    these marks stand right before the least of their bins.
     """
-    w = Window.partitionBy(*by).orderBy("k", "k2")
-    after = buckets.select(F.struct("k", "k2").alias("a"), *(F.struct(F.lead("k", i).over(w).alias("k"), F.lead("k2", i).over(w).alias("k2")).alias(f"n{i}") for i in range(1, small)))
-    return after.select("a", F.explode(F.array(*(f"n{i}" for i in range(1, small)))).alias("b")).where("b.k is not null")
+    width = 1 << (64 - (BINS.bit_length() - 1))
+    marks = [-(1 << 63) + width * b for b in range(BINS)]
+    others = [c for c in rows.columns if c != "hs"]
+    out = rows.select(*others, F.sort_array(F.concat("hs", F.array(*map(F.lit, marks)))).alias("sorted"))
+    behind = F.array(*(F.get("sorted", F.array_position("sorted", F.lit(m)).cast("int")) for m in marks))
+    # a mark behind a mark: the bin is empty
+    out = out.select(*others, F.transform(behind, lambda x: F.when(x.bitwiseAND(F.lit(width - 1)) != 0, x)).alias("least"))
+    step = 1
+    while step < BINS:
+        turned = F.concat(F.slice("least", step + 1, BINS - step), F.slice("least", 1, step))
+        borrowed = F.zip_with("least", turned, lambda x, y: F.coalesce(x, y))
+        out = out.withColumn("least", F.when(F.exists("least", lambda x: x.isNull()), borrowed).otherwise(F.col("least")))
+        step *= 2
+    return out
+
+
+def signed(rows: DataFrame) -> DataFrame:
+    """doc, th, line_no, k, k2 and b0, b1, ... (a value for each band) of each line."""
+    own = least_of_bins(rows.select("doc", "th", "line_no", *node(F.col("line")), shingle_hashes(F.col("line")).alias("hs")))
+    return own.select("doc", "th", "line_no", "k", "k2", *(F.xxhash64(F.lit(b), *(F.get("least", F.lit(WIDE * b + i)) for i in range(WIDE))).alias(f"b{b}") for b in range(BANDS)))
+
+
+def buckets(signatures: DataFrame) -> DataFrame:
+    """v, k, m: the bands' values that m > 1 distinct lines share, and these lines by the first of their hashes."""
+    nodes = signatures.groupBy("k", "k2").agg(*(F.min(f"b{b}").alias(f"b{b}") for b in range(BANDS)))
+    dealt = nodes.select(F.explode(F.array(*(f"b{b}" for b in range(BANDS)))).alias("v"), "k")
+    # counted first, so that a value of very many lines is not gathered
+    return dealt.join(dealt.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "v").select("v", "k", "m")
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b")
 
 
-def candidates(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs a < b of nodes that meet in small buckets, and the nodes (k, k2) of large ones."""
-    dealt = signed.select(F.explode("values").alias("v"), "k", "k2").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("v"))).where("n > 1")
-    met = cut(dealt)
-    return ordered(within(met.where(F.col("n") <= SMALL), ["v"])).distinct(), met.where(F.col("n") > SMALL).select("k", "k2").distinct()
+def first_pairs(met: DataFrame) -> DataFrame:
+    """Pairs a < b of lines of a bucket: all in small ones, each with the least in larger ones."""
+    w = Window.partitionBy("v").orderBy("k")
+    after = met.where(F.col("m") <= SMALL).select(F.col("k").alias("a"), F.array(*(F.lead("k", i).over(w) for i in range(1, SMALL))).alias("others"))
+    small = after.select("a", F.explode("others").alias("b")).where("b is not null")
+    large = met.where(F.col("m") > SMALL)
+    heads = large.groupBy("v").agg(F.min("k").alias("a"))
+    return ordered(small.unionByName(large.join(heads, "v").select("a", F.col("k").alias("b")))).distinct()
 
 
-def prefixes(rows: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """s, k, k2, n, m: the shingles (s) of each node's prefix that m > 1 nodes have there; n is how many the node has in all."""
-    texts = rows.select(*node(F.col("line")), "line").join(nodes, ["k", "k2"], "left_semi").groupBy("k", "k2").agg(F.first("line").alias("line"))
-    every = cut(texts.select("k", "k2", F.array_distinct(shingle_hashes(F.col("line"))).alias("h")).select("k", "k2", F.size("h").alias("n"), F.explode("h").alias("s")))
-    counts = every.groupBy("s").agg(F.count(F.lit(1)).alias("c"))
-    place = F.row_number().over(Window.partitionBy("k", "k2").orderBy("c", "s"))
-    first = every.join(counts, "s").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1)
-    return first.select("s", "k", "k2", "n").withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("s"))).where("m > 1")
+def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """k, k2, line, n (distinct shingles) of the lines in nodes (k)."""
+    rows = lines(docs).select(*node(F.col("line")), "line").join(nodes, "k", "left_semi")
+    one = rows.groupBy("k", "k2").agg(F.first("line").alias("line"))
+    return one.select("k", "k2", "line", F.size(F.array_distinct(shingle_hashes(F.col("line")))).alias("n"))
 
 
-def near_pairs(shared: DataFrame) -> DataFrame:
-    """Pairs a < b of nodes that share a shingle of their prefixes: all in groups of up to GROUP, neighbours in larger ones."""
-    all_of = within(shared.where(F.col("m") <= GROUP), ["s"], GROUP)
-    return ordered(all_of.unionByName(within(shared.where(F.col("m") > GROUP), ["s"]))).distinct()
+def links(texts: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """a, b (structs of k and k2): pairs at least as alike as `similarity`, by all their shingles."""
+    end = lambda x: texts.select(F.col("k").alias(x), F.struct("k", "k2").alias(f"{x}_node"), F.col("line").alias(f"{x}_line"), F.col("n").alias(f"{x}_n"))
+    both = pairs.join(end("a"), "a").join(end("b"), "b").where(F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n") - 1e-9)
+    common = F.size(F.array_intersect(shingle_hashes(F.col("a_line")), shingle_hashes(F.col("b_line"))))
+    counted = both.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_n", "b_n", common.alias("common"))
+    return counted.where(F.col("common") >= similarity * (F.col("a_n") + F.col("b_n") - F.col("common"))).select("a", "b")
 
 
-def rest_pairs(shared: DataFrame, grouped: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs a < b of groups larger than GROUP that are not in one component, of sizes that can be alike.
+def rest_pairs(met: DataFrame, texts: DataFrame, grouped: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs a < b of large buckets that are not in one component, of numbers of shingles that can be alike.
 
     grouped: k, k2, component.
     """
-    own = shared.where(F.col("m") > GROUP).join(grouped, ["k", "k2"], "left").select("s", "n", "m", F.struct("k", "k2").alias("x"), F.coalesce("component", F.struct("k", "k2")).alias("c"))
-    mixed = own.groupBy("s").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("s")
+    own = met.where(F.col("m") > SMALL).join(texts.select("k", "k2", "n"), "k").join(grouped, ["k", "k2"], "left")
+    own = own.select("v", "m", "k", "n", F.coalesce("component", F.struct("k", "k2")).alias("c"))
+    mixed = own.groupBy("v").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("v")
     wide = F.ceil(F.col("m") / BLOCK).cast("int")
-    placed = own.join(mixed, "s", "left_semi").withColumn("wide", wide).withColumn("at", F.pmod(F.xxhash64("x"), F.col("wide")).cast("int"))
-    left = placed.select("s", "at", F.explode(F.sequence("at", F.col("wide") - 1)).alias("to"), F.col("x").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"))
-    right = placed.select("s", F.col("at").alias("to"), F.explode(F.sequence(F.lit(0), "at")).alias("at"), F.col("x").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"))
+    placed = own.join(mixed, "v", "left_semi").withColumn("wide", wide).withColumn("at", F.pmod(F.xxhash64("k"), F.col("wide")).cast("int"))
+    left = placed.select("v", "at", F.explode(F.sequence("at", F.col("wide") - 1)).alias("to"), F.col("k").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"))
+    right = placed.select("v", F.col("at").alias("to"), F.explode(F.sequence(F.lit(0), "at")).alias("at"), F.col("k").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"))
     alike = F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9
-    return ordered(left.join(right, ["s", "at", "to"]).where((F.col("ca") != F.col("cb")) & alike & ((F.col("at") != F.col("to")) | (F.col("a") < F.col("b"))))).distinct()
-
-
-def links(rows: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs at least as alike as `similarity`, by all their shingles."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("x")).select("x.k", "x.k2").distinct()
-    texts = rows.select(*node(F.col("line")), "line").join(ends, ["k", "k2"], "left_semi").groupBy("k", "k2").agg(F.first("line").alias("line"))
-    texts = cut(texts.select(F.struct("k", "k2").alias("x"), "line"))
-    both = pairs.join(texts.select(F.col("x").alias("a"), F.col("line").alias("la")), "a").join(texts.select(F.col("x").alias("b"), F.col("line").alias("lb")), "b")
-    sets = both.select("a", "b", *(F.array_distinct(shingle_hashes(F.col(f"l{x}"))).alias(f"s{x}") for x in "ab"))
-    counted = sets.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
-    return counted.where(F.col("common") >= similarity * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
-
-
-def line_components(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """All lines with their nodes, and (k, k2, component) for the nodes that link to another."""
-    rows = lines(docs)
-    pairs, nodes = candidates(cut(bands(rows)))
-    short = rows.where(F.length("line") < SHINGLE + FEW).select(*node(F.col("line"))).distinct()
-    shared = cut(prefixes(rows, nodes.union(short).distinct(), similarity))
-    pairs = cut(pairs.unionByName(near_pairs(shared)).distinct())
-    linked = cut(links(rows, pairs, similarity))
-    grouped = components(linked).select("node.k", "node.k2", "component")
-    if not shared.where(F.col("m") > GROUP).isEmpty():
-        more = cut(links(rows, cut(rest_pairs(shared, grouped, similarity)), similarity))
-        if not more.isEmpty():
-            grouped = components(linked.unionByName(more)).select("node.k", "node.k2", "component")
-    return rows.select("doc_id", "th", "line_no", *node(F.col("line"))), grouped
+    met_again = left.join(right, ["v", "at", "to"]).where((F.col("ca") != F.col("cb")) & alike & ((F.col("at") != F.col("to")) | (F.col("a") < F.col("b"))))
+    return ordered(met_again).distinct()
 
 
 def line_flags(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, th, gone: the numbers of the lines that go, ascending, for documents that lose any."""
-    rows, grouped = line_components(docs, similarity)
-    # components are few beside lines; what has none is its own component
-    heads = rows.groupBy("k", "k2").agg(F.min(F.struct("doc_id", "line_no", "th")).alias("first"))
-    own = heads.join(grouped, ["k", "k2"], "left").select("k", "k2", "first", F.coalesce("component", F.struct("k", "k2")).alias("component"))
-    firsts = cut(own)
-    keep = firsts.groupBy("component").agg(F.min("first").alias("stays"))
-    stays = firsts.join(keep, "component").select("k", "k2", "stays")
-    lost = rows.join(stays, ["k", "k2"]).where("doc_id <> stays.doc_id or line_no <> stays.line_no")
-    return lost.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("line_no")).alias("gone"))
+    """doc, th, gone: the numbers of the lines that go, ascending, for documents that lose any."""
+    with workspace(docs.sparkSession) as own:
+        signatures = own(signed(lines(docs)))
+        met = own(buckets(signatures))
+        pairs = own(first_pairs(met))
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("k")).union(met.where(F.col("m") > SMALL).select("k")).distinct()
+        texts = own(texts_of(docs, needed))
+        linked = own(links(texts, pairs, similarity))
+        grouped = components(linked).select("node.k", "node.k2", "component")
+        if not met.where(F.col("m") > SMALL).isEmpty():
+            more = own(links(texts, rest_pairs(met, texts, grouped, similarity), similarity))
+            if not more.isEmpty():
+                grouped = components(linked.unionByName(more)).select("node.k", "node.k2", "component")
+        # what has no link is its own component
+        rows = signatures.select("doc", "th", "line_no", "k", "k2").join(grouped, ["k", "k2"], "left")
+        rows = rows.select(F.struct("doc", "line_no", "th").alias("place"), F.coalesce("component", F.struct("k", "k2")).alias("component"))
+        stays = rows.groupBy("component").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("component", "first")
+        lost = rows.join(stays, "component").where("place <> first")
+        return cut(lost.groupBy("place.doc", "place.th").agg(F.array_sort(F.collect_set("place.line_no")).alias("gone")))
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs with n_lines, n_removed and `kept`, the text without the lines that go."""
     flags = line_flags(docs, similarity)
+    rest = [c for c in docs.columns if c.lower() not in ("text", *ADDED)]
     # below the join the lines are an array, above it they are taken from there by number, in one pass
-    rest = [c for c in docs.columns if c != "text"]
-    own = docs.select(*rest, F.xxhash64("text").alias("th"), F.split("text", "\n").alias("parts")).join(flags, ["doc_id", "th"], "left")
+    own = docs.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in rest)).alias("row"), doc_key().alias("doc"), F.xxhash64("text").alias("th"), F.split("text", "\n").alias("parts"))
+    own = own.join(flags, ["doc", "th"], "left")
     marks = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone"))
     kept = F.when(F.col("gone").isNull(), F.array_join("parts", "\n")).otherwise(F.array_join(F.transform(marks, lambda i: F.element_at("parts", i + 1)), "\n"))
     n = F.when(F.col("parts").isNull(), 0).otherwise(F.size("parts"))
-    return own.select(*rest, F.array_join("parts", "\n").alias("text"), n.cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept"))
+    text = [F.array_join("parts", "\n").alias(c) if c.lower() == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in ADDED]
+    return own.select(*text, n.cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept"))
 
 
 def op10_line_dedup(spark, sf_dir: str) -> DataFrame:
