@@ -116,6 +116,12 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def groups_for(docs: DataFrame, text_col: str = "text", most: int = 8 << 20) -> int:
+    """Into how many groups documents are dealt so that one holds about `most` bytes of text; at least the session's partitions."""
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(width(docs.sparkSession), -(-total // most))
+
+
 def light(spark: SparkSession) -> None:
     """Keep the Arrow batches of whole documents small, and see that executors have this package."""
     ship(spark)
@@ -229,7 +235,7 @@ def blocks(ids: np.ndarray, texts: list[bytes], most: int = BLOCK_BYTES):
 def batches(it, id_col: str = "doc_id", text_col: str = "text", most: int = BLOCK_BYTES):
     """From Arrow batches: ids and UTF-8 texts (null: empty) in blocks."""
     for batch in it:
-        ids = batch.column(batch.schema.get_field_index(id_col)).to_numpy(zero_copy_only=False)
+        ids = pc.fill_null(batch.column(batch.schema.get_field_index(id_col)), LAST).to_numpy(zero_copy_only=False)
         col = batch.column(batch.schema.get_field_index(text_col))
         texts = [x or b"" for x in pc.cast(col, pa.binary()).to_pylist()]
         yield from blocks(ids, texts, most)

@@ -1,14 +1,16 @@
 """Quality rules: fixed rules, then a calibrated logistic regression on hashed n-grams.
 
 Counts are taken over bytes of whole texts in Arrow batches.  The model sees words and character
-n-grams (sizes 3 and 5, over bytes) hashed into 2^16 weights; it is fitted on the driver to at most
+n-grams (sizes 3 and 5, over UTF-8 bytes: a character beyond ASCII counts as its bytes) hashed into 2^16 weights; it is fitted on the driver to at most
 TRAIN_ROWS labelled rows (chosen by the hash of the doc_id) of at most TRAIN_CHARS characters, two
 documented bounds on what the driver holds, and calibrated by Platt's method on a fifth of them that
 the weights have not seen.  Scoring reads every row and whole texts.  Rows pass at THRESHOLD.
 
-Defined results: null and empty texts have no words and fail the base rules; rows without a label
-only take no part in fitting; with no labels of both classes the verdict is the base rules' alone;
-repeated rows give one result row each; further columns play no part.
+Defined results: null and empty texts have no words and fail the base rules; a null doc_id stays null;
+rows without a label only take no part in fitting; of several labels of one doc_id the lesser counts, and
+of several texts the least; with no labels of both classes the verdict is the base rules' alone; repeated
+rows give one result row each; texts of any length are whole; an empty table gives no rows; further
+columns play no part.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from toolloom.llm.common import U64, batches, blocks, light, table
+from toolloom.llm.common import U64, batches, blocks, keyed, light, table, unkeyed
 from toolloom.llm.words import hashes, split, windows
 
 BITS, TRAIN_ROWS, TRAIN_CHARS, EPOCHS, THRESHOLD = 16, 6000, 20_000, 12, 0.5
@@ -161,7 +163,7 @@ def score(docs: DataFrame, weights: np.ndarray | None, threshold: float = THRESH
             p = np.ones(n) if sent.value is None else sigmoid(logits(c["_w"], c["_h"], sent.value, n))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c[x]) for x in cols), pa.array(failed), pa.array(~failed & (p >= threshold)), pa.array(p)], names=["doc_id", *cols, "base_failed", "kept", "p_quality"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{x} long" for x in cols) + ", base_failed boolean, kept boolean, p_quality double")
+    return unkeyed(keyed(docs).mapInArrow(run, "doc_id long, " + ", ".join(f"{x} long" for x in cols) + ", base_failed boolean, kept boolean, p_quality double"))
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:

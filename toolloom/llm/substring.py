@@ -11,9 +11,10 @@ the union of the windows that match makes maximal exact repeats.
 All steps deal rows by hash of the content (see common.py), so copies of one passage in many
 documents do not gather pairs: a bucket finds the smallest doc_id of each digest and compares.
 
-Defined results: null and empty texts have no words and keep nothing; rows of one doc_id do not
-remove each other's words, and rows that repeat a document altogether get the same result each;
-an empty table gives no rows; further columns play no part.
+Defined results: null and empty texts have no words and keep nothing; a null doc_id counts as one after
+all others and stays null; rows of one doc_id do not remove each other's words, and rows that repeat a
+document altogether get the same result each; texts and words of any length are whole; an empty table
+gives no rows; further columns play no part.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from toolloom.llm.common import PACKED, U64, arrow, batches, blocks, frame, home_col, light, mix, receive, send, table, to_homes, variants, width
+from toolloom.llm.common import PACKED, U64, arrow, batches, blocks, frame, groups_for, home_col, keyed, light, receive, send, table, to_homes, unkeyed, variants
 from toolloom.llm.words import cover, hashes, join_words, split, windows
 
 BLOCK = 7
@@ -143,8 +144,8 @@ def remove_repeats(docs: DataFrame, block: int = BLOCK, text: bool = True) -> Da
     """doc_id, kept text (words joined by one space), n_words, n_removed, spans [(from, to)] of removed words."""
     spark = docs.sparkSession
     light(spark)
-    n = width(spark)
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    n = groups_for(docs)
+    docs = keyed(docs)
     own = dealt(docs, n)
     hits = anchor_hits(anchors(docs, n, block), n, block)
     found = repeats(candidates(own, hits, n, block), n)
@@ -168,7 +169,7 @@ def remove_repeats(docs: DataFrame, block: int = BLOCK, text: bool = True) -> Da
             rows.append((i, total, removed, hashlib.sha256(kept).hexdigest(), kept.decode() if text else None, [{"begin": a, "end": b} for a, b in spans] if text else None))
         return pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256", "kept", "spans"])
 
-    return own.groupBy("home").cogroup(found.groupBy("bucket")).applyInPandas(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, spans array<struct<begin:long,end:long>>")
+    return unkeyed(own.groupBy("home").cogroup(found.groupBy("bucket")).applyInPandas(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, spans array<struct<begin:long,end:long>>"))
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:

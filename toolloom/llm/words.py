@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 
 from toolloom.llm.common import U64, mix
 
@@ -15,9 +16,14 @@ PLAIN[[0x20, *range(0x09, 0x0E)]] = False
 FOLDED = np.zeros(256, bool)
 FOLDED[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
-BASE = (U64(0x9E3779B185EBCA87), U64(0xD6E8FEB86659FD93))
 _random = np.random.default_rng(20240501)
-SUBST = tuple(_random.integers(1, 2**64, 256, np.uint64) | U64(1) for _ in range(2))
+#: Two independent sets of random odd numbers: for the rounds of a word's hash, and for the places of a window.
+SEEDS = tuple(int(x) for x in _random.integers(1, 2**63, 2, np.uint64))
+PLACES = tuple(_random.integers(1, 2**64, 64, np.uint64) | U64(1) for _ in range(2))
+#: Masks of the first n of eight bytes.
+FIRST = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+#: Words of more bytes are hashed one by one.
+LONG = 64
 
 
 @dataclass
@@ -50,30 +56,26 @@ def split(texts: list[bytes], table: np.ndarray = PLAIN) -> Words:
     return Words(buf, first, start, end, doc, pos, counts)
 
 
-_powers: dict = {}
+def hashes(w: Words, which: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word; `which` picks one of two independent ones.
 
-
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1)."""
-    known = _powers.get(base)
-    if known is None or len(known) < n:
-        out = np.full(max(1 << (max(n, 1) - 1).bit_length(), 1), base, np.uint64)
-        out[0] = 1
-        known = np.multiply.accumulate(out)
-        if len(known) <= 1 << 21:
-            _powers[base] = known
-    return known[: max(n, 1)]
-
-
-def hashes(w: Words, which: int = 0, table: np.ndarray = PLAIN) -> np.ndarray:
-    """A 64-bit hash of each word; `which` picks one of two independent ones."""
-    if not len(w.start):
-        return np.zeros(0, np.uint64)
+    Eight bytes at a time enter a chain of bijections that are not linear, so that no two words
+    collide by their make-up, whatever the numbers drawn.
+    """
     size = w.end - w.start
-    at = np.cumsum(size) - size
-    place = np.arange(int(size.sum())) - np.repeat(at, size)
-    bytes_ = w.buf[table[w.buf]]
-    return mix(np.add.reduceat(SUBST[which][bytes_] * powers(BASE[which], int(size.max()))[place], at) + size.astype(np.uint64))
+    out = mix(size.astype(np.uint64) + U64(SEEDS[which]))
+    padded = np.concatenate([w.buf, np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.as_strided(padded, (len(w.buf) + 1, 8), (1, 1))
+    at = np.flatnonzero(size <= LONG)
+    for k in range(0, LONG, 8):
+        at = at[size[at] > k]
+        if not len(at):
+            break
+        part = np.ascontiguousarray(eight[w.start[at] + k]).view("<u8").reshape(-1) & FIRST[np.minimum(size[at] - k, 8)]
+        out[at] = mix(mix(part + U64(SEEDS[1 - which])) ^ (out[at] * PLACES[which][k // 8]))
+    for i in np.flatnonzero(size > LONG).tolist():
+        out[i] = xxhash.xxh64_intdigest(w.buf[w.start[i] : w.end[i]].tobytes(), SEEDS[which])
+    return out
 
 
 def windows(h: np.ndarray, pos: np.ndarray, counts: np.ndarray, n: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -82,8 +84,8 @@ def windows(h: np.ndarray, pos: np.ndarray, counts: np.ndarray, n: int, which: i
     out = np.zeros(len(h), np.uint64)
     if len(h) >= n:
         body = out[: len(h) - n + 1]
-        for j, p in enumerate(powers(BASE[1 - which], n)):
-            body += h[j : len(h) - n + 1 + j] * p
+        for j, p in enumerate(PLACES[which][:n]):
+            body += mix(h[j : len(h) - n + 1 + j] ^ p) * p
     return mix(out), whole
 
 
