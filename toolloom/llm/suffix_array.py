@@ -11,14 +11,16 @@ A byte goes when a string of WINDOW bytes over it also starts elsewhere, in any
    Kasai's algorithm gives the common prefixes of neighbours, and runs of neighbours with at least
    WINDOW bytes in common are the strings that repeat within the shard.
 3. Shards merge: each sends one sorted run of digests of its distinct strings to every bucket, and a
-   bucket looks each run up in the others by binary search.
+   bucket looks each run up by binary search among the digests that more than one run holds.
 4. Strings found are laid over their documents; covered bytes go.
 
-Copies of a passage, however many, cost their shard one digest for each distinct string.
+Copies of a passage, however many, cost their shard one digest for each distinct string.  Of documents
+whose texts are equal altogether one goes through the steps; the others are known to go whole.  Strings
+of different shards are compared by 64 bits made of two digests, besides the bucket by one of them.
 
-Defined results: null and empty texts have no bytes; rows that repeat a document, and other rows of
-one doc_id, are places like any other; texts under WINDOW bytes stay whole; an empty table gives no
-rows; further columns play no part.
+Defined results: null and empty texts have no bytes; a null doc_id stays null and counts like any other;
+rows that repeat a document, and other rows of one doc_id, are places like any other; texts under WINDOW
+bytes stay whole; texts of any length are whole; an empty table gives no rows; further columns play no part.
 """
 
 from __future__ import annotations
@@ -27,12 +29,13 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from toolloom.llm.common import PACKED, U64, arrow, batches, blocks, frame, light, mix, pack, receive, send, table, to_homes, variants, width
+from toolloom.llm.common import PACKED, U64, arrow, batches, frame, groups_for, keyed, light, mix, receive, send, table, to_homes, undelta, unkeyed, unpack, variants
 from toolloom.llm.substring import dealt, document_arrays, groups, starts_of
-from toolloom.llm.words import BASE, SUBST, cover, powers
+from toolloom.llm.words import cover
 
 WINDOW, GRAM = 200, 101
 TOP = np.iinfo(np.uint64).max
@@ -40,6 +43,24 @@ TOP = np.iinfo(np.uint64).max
 SHARD_BYTES = 2 << 20
 
 
+BASE = (U64(0x9E3779B185EBCA87), U64(0xD6E8FEB86659FD93))
+_random = np.random.default_rng(20240501)
+SUBST = tuple(_random.integers(1, 2**64, 256, np.uint64) | U64(1) for _ in range(2))
+_powers: dict = {}
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """base^0 .. base^(n-1)."""
+    known = _powers.get(base)
+    if known is None or len(known) < n:
+        out = np.full(max(1 << (max(n, 1) - 1).bit_length(), 1), base, np.uint64)
+        out[0] = 1
+        known = np.multiply.accumulate(out)
+        if len(known) <= 1 << 21:
+            _powers[base] = known
+    return known[: max(n, 1)]
+
+
 def rolling(buf: np.ndarray, n: int, which: int = 0) -> np.ndarray:
     """Hash of the n bytes from each place on (len(buf) - n + 1 of them)."""
     base = BASE[which]
@@ -162,8 +183,9 @@ def kasai(s: bytes, order: np.ndarray, cap: int = WINDOW) -> np.ndarray:
         fit = (here + k < n - 7) & (there + k < n - 7)
         here, there = here[fit], there[fit]
         here = here[word[here + k] == word[there + k]]
+    del word
     h, last = 0, -2
-    for i, j in zip(here.tolist(), before[here].tolist()):
+    for i, j in ((i, j) for part in np.array_split(here, len(here) // 65536 + 1) for i, j in zip(part.tolist(), before[part].tolist())):
         if i != last + 1:
             h = 0
         if s[i : i + cap] == s[j : j + cap] and max(i, j) + cap <= n:
@@ -185,6 +207,26 @@ def regions(near: np.ndarray, window: int) -> list[tuple[int, int]]:
     return [(a, b - 1 + window) for a, b in zip(edge[::2], edge[1::2])]
 
 
+def copies(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Rows of PACKED (bucket: the home; docs: one doc_id; keys: the text's digest; pos: empty for the one that goes through the steps) of texts that stand more than once."""
+    one = docs.where(F.octet_length("text") >= window).select("home", "doc_id", F.xxhash64("text").alias("h"), F.hash("text").alias("h2"), F.octet_length("text").alias("n"))
+    several = one.groupBy("h", "h2", "n").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    again = one.join(several, ["h", "h2", "n"]).select("home", "doc_id", "h", "least").distinct()
+    return again.select(F.col("home").alias("bucket"), F.col("doc_id").cast("string").cast("binary").alias("docs"), F.lit(b"").alias("vars"), F.lit(b"").alias("counts"), F.when(F.col("doc_id") == F.col("least"), F.lit(b"")).otherwise(F.lit(b"copy")).alias("pos"), F.col("h").cast("string").cast("binary").alias("keys"))
+
+
+def apart(right: pd.DataFrame) -> tuple[pd.DataFrame, dict]:
+    """Rows of PACKED proper, and of the rest: (doc_id, digest of the text) -> whether another row goes through the steps for it."""
+    own = np.array([len(x) == 0 for x in right["counts"]], bool)
+    rest = right[own]
+    return right[~own], {(int(d), int(k)): len(p) > 0 for d, k, p in zip(rest["docs"], rest["keys"], rest["pos"])}
+
+
+def digest(text: bytes) -> int:
+    """Spark's xxhash64 of a string."""
+    return int(np.uint64(xxhash.xxh64_intdigest(text, 42)).astype(np.int64))
+
+
 def shards(docs: DataFrame, met: DataFrame, n: int, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Sorted runs of digests of the strings of each shard, and (bucket -1 - home) places that repeat within it."""
 
@@ -205,14 +247,13 @@ def shards(docs: DataFrame, met: DataFrame, n: int, window: int = WINDOW, gram:
         start = np.flatnonzero(np.r_[True, run[1:] != run[:-1]]) if len(run) else np.zeros(0, np.int64)
         count = np.diff(np.r_[start, len(run)])
         twice = at[np.repeat(count > 1, count)]
+        del use, run, common
         h, other = rolling(s, window), rolling(s, window, 1)
+        h ^= other * U64(0x9E3779B97F4A7C15)
         one = np.sort(at[start])
-        repeated = np.zeros(len(s), bool)
-        repeated[at[start[count > 1]]] = True
         pos = lambda x: off[home[x]] + x - first[home[x]]
-        # documents ascend in `one`, as regions were laid out by document; the lowest bit says whether this shard holds the string twice
-        keys = (h[one] & ~U64(1)) | repeated[one].astype(np.uint64)
-        rows = send(((other[one] >> U64(20)) % U64(n)).astype(np.int64), doc[home[one]], var[home[one]], pos(one), keys, np.uint64)
+        # documents ascend in `one`, as regions were laid out by document
+        rows = send(((other[one] >> U64(20)) % U64(n)).astype(np.int64), doc[home[one]], var[home[one]], pos(one), h[one], np.uint64)
         twice = np.sort(twice)
         if len(twice):
             decided = to_homes(doc[home[twice]], var[home[twice]], pos(twice), n)
@@ -221,6 +262,7 @@ def shards(docs: DataFrame, met: DataFrame, n: int, window: int = WINDOW, gram:
         return rows
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        right, again = apart(right)
         if not len(left) or not len(right):
             return frame([])
         hit_doc, _, hit_pos, _ = receive(right, np.uint8)
@@ -233,6 +275,8 @@ def shards(docs: DataFrame, met: DataFrame, n: int, window: int = WINDOW, gram:
         for i in order.tolist():
             a, b = np.searchsorted(hit_doc, [ids[i], ids[i] + 1])
             t = texts[i]
+            if again and again.get((int(ids[i]), digest(t))):
+                continue  # an equal text goes through the steps
             m = len(t) - window + 1
             p = hit_pos[a:b]
             p = p[p + gram <= len(t)]
@@ -261,46 +305,52 @@ def shards(docs: DataFrame, met: DataFrame, n: int, window: int = WINDOW, gram:
 
 
 def merge(sent: DataFrame, n: int) -> DataFrame:
-    """Places of strings that another shard holds, or that their own holds twice."""
+    """Places of strings that another shard holds, and those that repeat within a shard."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         if pdf["bucket"].iloc[0] < 0:
             return pdf.assign(bucket=-1 - pdf["bucket"])
-        runs = []
-        for k in range(len(pdf)):
-            doc, var, pos, keys = receive(pdf.iloc[k : k + 1], np.uint64)
-            o = np.argsort(keys, kind="stable")
-            runs.append((doc[o], var[o], pos[o], keys[o]))
-        # binary search of each run in the merged order of all: equal digests of other runs stand beside its own
-        every = np.sort(np.concatenate([r[3] for r in runs]) >> U64(1))
-        found = []
-        for doc, var, pos, keys in runs:
-            k = keys >> U64(1)
-            many = np.searchsorted(every, k, "right") - np.searchsorted(every, k, "left") > 1
-            found.append((doc[many], var[many], pos[many]))
-        doc, var, pos = (np.concatenate(x) for x in zip(*found))
-        return to_homes(doc, var, pos, n)
+        every = np.sort(np.concatenate([unpack(k, np.uint64) for k in pdf["keys"]]))
+        several = np.unique(every[1:][every[1:] == every[:-1]])
+        del every
+        docs, vs, poss = [], [], []
+        for d, v, c, p, k in zip(pdf["docs"], pdf["vars"], pdf["counts"], pdf["pos"], pdf["keys"]):
+            # a run holds a string once, so what stands twice among all stands in two runs: a binary search for each digest of a run
+            keys = unpack(k, np.uint64)
+            at = np.searchsorted(several, keys)
+            many = np.flatnonzero((at < len(several)) & (several[np.minimum(at, len(several) - 1)] == keys)) if len(several) else at[:0]
+            if len(many):
+                counts = unpack(c, np.uint32).astype(np.int64)
+                of = np.searchsorted(np.cumsum(counts), many, "right")
+                docs.append(unpack(d, np.int64)[of])
+                vs.append(unpack(v, np.uint32)[of])
+                poss.append(undelta(unpack(p, np.uint32), counts)[many])
+        return to_homes(np.concatenate(docs), np.concatenate(vs), np.concatenate(poss), n) if docs else frame([])
 
     return sent.groupBy("bucket").applyInPandas(run, PACKED)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary)."""
-    spark = docs.sparkSession
-    light(spark)
-    n = width(spark)
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    light(docs.sparkSession)
+    n = groups_for(docs)
+    docs = keyed(docs)
     own = dealt(docs, n)
-    found = merge(shards(own, meetings(grams(docs, n), n), n, window, gram), n)
+    # texts that stand more than once: known to the homes of all of them
+    again = copies(own.select("home", "doc_id", "text"), window)
+    found = merge(shards(own, meetings(grams(docs, n), n).unionByName(again), n, window, gram), n).unionByName(again)
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         ids, texts = document_arrays(left)
+        right, whole = apart(right)
         gone = starts_of(right)
         rows = []
         for i, v, t in zip(ids.tolist(), variants(ids, texts).tolist(), texts):
             removed = spans = 0
             kept = t
-            if (starts := gone.get((i, v))) is not None:
+            if whole and len(t) >= window and (i, digest(t)) in whole:
+                removed, spans, kept = len(t), 1, b""
+            elif (starts := gone.get((i, v))) is not None:
                 out = cover(np.unique(starts), window, len(t))
                 removed = int(out.sum())
                 spans = int((np.diff(np.r_[0, out.astype(np.int8)]) == 1).sum())
@@ -308,7 +358,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text
             rows.append((i, len(t), removed, spans, hashlib.sha256(kept).hexdigest(), kept if text else None))
         return pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return own.groupBy("home").cogroup(found.groupBy("bucket")).applyInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return unkeyed(own.groupBy("home").cogroup(found.groupBy("bucket")).applyInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
 
 
 def op3_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
