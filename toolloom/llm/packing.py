@@ -13,8 +13,10 @@ Pieces then find their places without meeting: the plan says that the pieces of
 from a to b lie, each `step` sequences on, at a given offset.  Ranks within a length come from counts
 by (length, salt), so that a hot length is spread over many tasks.
 
-Defined results: null and empty texts are documents of the end id alone; repeated rows are packed as
-documents of their own, with `copy` to tell them apart; an empty table gives no rows.
+Defined results: null and empty texts are documents of the end id alone; a null doc_id stays null;
+repeated rows, and other rows of one doc_id, are packed as documents of their own, whose rows differ in
+sequence_id and offset; texts of any length are whole; an empty table gives no rows; further columns
+play no part.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from toolloom.llm.common import batches, crc_ids, cut, light, table, width
-from toolloom.llm.tokens import END, VOCABULARY, encoded
+from toolloom.llm.common import batches, crc_ids, cut, keyed, light, table, unkeyed, width
+from toolloom.llm.tokens import BLOCK, END, VOCABULARY, encoded, release
 
 CAPACITY, ROUNDS, SALTS = 4096, 400, 64
 
@@ -36,13 +38,14 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, name: str = VOCABULARY, en
     light(docs.sparkSession)
 
     def run(it):
-        for ids, texts in batches(it):
+        for ids, texts in batches(it, most=BLOCK):
             rows = []
             for d, x in encoded(ids, texts, name, end):
                 rows += [(d, k, a, min(capacity, len(x) - a), crc_ids(x[a : a + capacity])) for k, a in enumerate(range(0, len(x), capacity))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))] if rows else [pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        release()
 
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return keyed(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def price(lengths: np.ndarray, weights: np.ndarray, limit: np.ndarray, capacity: int) -> list[int]:
@@ -196,7 +199,7 @@ def pack_pieces(cut_pieces: DataFrame, capacity: int = CAPACITY, rounds: int = R
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    return pack_pieces(cut(pieces(docs, capacity)), capacity)
+    return unkeyed(pack_pieces(cut(pieces(docs, capacity)), capacity))
 
 
 def op5_pack(spark, sf_dir: str) -> DataFrame:

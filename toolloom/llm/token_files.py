@@ -15,8 +15,10 @@ Decoding looks the sizes up by control byte in a 256 x 4 table, and gathers.
 Files hold ranges of doc_id in ascending order: part-00000, part-00001, ...  A task writes its file
 under another name and moves it, and a repeated task writes the same file again.
 
-Defined results: null and empty texts are documents of the end id alone; repeated rows are documents
-of their own, in unspecified order among themselves; an empty table gives no files and no rows.
+Defined results: null and empty texts are documents of the end id alone; a null doc_id counts as one
+after all others, and is 2^63 - 1 in the files; repeated rows are documents of their own, and rows of
+one doc_id stand in the order of their ids' bytes; texts of any length are whole; an empty table gives
+no files and no rows; further columns play no part.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from toolloom.llm.common import batches, crc_ids, cut, light, put, scratch, table, width
-from toolloom.llm.tokens import END, VOCABULARY, encoded
+from toolloom.llm.common import batches, crc_ids, cut, keyed, light, put, scratch, table, unkeyed, width
+from toolloom.llm.tokens import BLOCK, END, VOCABULARY, encoded, release
 
 MAGIC = b"TLMTOK01"
 HEAD = struct.Struct("<8sIIQQ")
@@ -82,11 +84,12 @@ def token_rows(docs: DataFrame, name: str = VOCABULARY, end: int | None = END) -
     """doc_id and ids (little-endian, two bytes each; the vocabularies here have under 2^16) of each row."""
 
     def run(it):
-        for ids, texts in batches(it):
+        for ids, texts in batches(it, most=BLOCK):
             rows = [(d, x.astype("<u2").tobytes()) for d, x in encoded(ids, texts, name, end)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["doc_id", "ids"])
+        release()
 
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
+    return keyed(docs).mapInArrow(run, "doc_id long, ids binary")
 
 
 def ranking(tokens: DataFrame) -> np.ndarray:
@@ -132,7 +135,7 @@ def write_files(docs: DataFrame, path: str, name: str = VOCABULARY, end: int | N
             yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([to]), pa.array([len(counts)]), pa.array([len(ranks)])], names=["part", "file", "n_docs", "n_ids"])
 
     n = width(spark)
-    return tokens.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id").mapInArrow(run, "part long, file string, n_docs long, n_ids long")
+    return tokens.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "ids").mapInArrow(run, "part long, file string, n_docs long, n_ids long")
 
 
 def read_files(spark, path: str) -> DataFrame:
@@ -156,7 +159,7 @@ def digest(spark, path: str, written: DataFrame) -> DataFrame:
     """What the files say of each document, with the ids of all documents before it."""
     # one row for each file: a running sum over a table as long as the list of files
     base = written.select("part", F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    return read_files(spark, path).join(base, "part").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+    return unkeyed(read_files(spark, path).join(base, "part")).select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def op4_token_files(spark, sf_dir: str) -> DataFrame:

@@ -3,8 +3,8 @@
 The vocabulary word_bpe_49k.json drops white space, never merges across it, folds case, and takes
 letters and punctuation as separate pieces.  So the ids of a text are those of its runs between
 ASCII white space, one after the other.  Arrow splits a block of texts and finds its distinct runs;
-each run is given to the library once and its ids are kept (at most CACHE runs a process, then the
-store starts anew), and numpy gathers the ids of the texts.  A run of Latin-1 letters, with or
+each run is given to the library once and its ids are kept (CACHE runs and those of one block at
+most, then the store starts anew; it is let go with the end of a task), and numpy gathers the ids of the texts.  A run of Latin-1 letters, with or
 without ASCII punctuation behind it, is one piece of letters and one of punctuation: the
 library's own normaliser and pre-tokenizer give each letter's form, its BPE model the ids.  Other
 runs go through the whole tokenizer.  `exact` encodes whole texts by the library instead, for
@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 
 from toolloom.llm.common import blocks
 
-CACHE, END = 1_000_000, 1
+CACHE, END, BLOCK = 60_000, 1, 2 << 20
 VOCABULARY = "word_bpe_49k.json"
 LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)").fullmatch
 _stores: dict = {}
@@ -133,7 +133,15 @@ def encoder(name: str = VOCABULARY, exact: bool = False) -> Encoder:
     return _stores[name, exact]
 
 
-def encoded(ids: np.ndarray, texts: list[bytes], name: str = VOCABULARY, end: int | None = END, most: int = 4 << 20):
+def release() -> None:
+    """Let go of what the process's encoders remember: a worker lives on for tasks of other kinds."""
+    for e in _stores.values():
+        if not e.exact:
+            e.clear()
+    pa.default_memory_pool().release_unused()
+
+
+def encoded(ids: np.ndarray, texts: list[bytes], name: str = VOCABULARY, end: int | None = END, most: int = BLOCK):
     """doc_id and ids of each text, in the order given."""
     e = encoder(name)
     for own, part in blocks(ids, texts, most):
