@@ -12,9 +12,10 @@ component of alike lines the first, by doc_id and place, stays.
 * Banding: BANDS bands of WIDE values.  Lines of a similarity of 0.8 meet with a probability of
   1 - (1 - 0.8^3)^10 = 0.9992.  That holds for short lines too: a band that lies within the bins
   borrowed from shared shingles meets, so a pair is lost only if what differs takes part in every band.
-* Candidates: in a bucket of up to SMALL lines all pairs; in a larger one first each line with the least
-  one, and then, once the components of these links are known, all pairs of different components (pairs
-  within a component add nothing to it), in squares of BLOCK lines that are tasks of their own.
+* Candidates: in a bucket of up to SMALL lines all pairs; in a larger one first each line with HEADS
+  lines drawn by hash, and then, once the components of these links are known, all pairs of different
+  components (pairs within a component add nothing to it), in squares of BLOCK lines that are tasks of
+  their own, each pair in the first band in which it meets.
   No pair of lines that meet is left out, but for those whose numbers of shingles rule a link out.
 * Candidates are verified by the exact similarity of all their shingles; union-find over the links
   gives the components.
@@ -40,7 +41,7 @@ from toolloom.llm.components import components
 SHINGLE, SIMILARITY = 9, 0.8
 BINS, BANDS, WIDE = 32, 10, 3
 #: Lines of a bucket that are compared all with each other at once, and the side of a square of the rest.
-SMALL, BLOCK = 16, 256
+SMALL, BLOCK, HEADS = 16, 256, 4
 #: Characters of the parts in which shingles are taken.
 LONG, MIDDLE, SHORT = 4096, 128, 16
 ADDED = ("n_lines", "n_removed", "kept")
@@ -123,7 +124,8 @@ def first_pairs(met: DataFrame) -> DataFrame:
     after = met.where(F.col("m") <= SMALL).select(F.col("k").alias("a"), F.array(*(F.lead("k", i).over(w) for i in range(1, SMALL))).alias("others"))
     small = after.select("a", F.explode("others").alias("b")).where("b is not null")
     large = met.where(F.col("m") > SMALL)
-    heads = large.groupBy("v").agg(F.min("k").alias("a"))
+    heads = large.groupBy("v").agg(*(F.min_by("k", F.xxhash64("k", F.lit(i))).alias(f"h{i}") for i in range(HEADS)))
+    heads = heads.select("v", F.explode(F.array_distinct(F.array(*(f"h{i}" for i in range(HEADS))))).alias("a"))
     return ordered(small.unionByName(large.join(heads, "v").select("a", F.col("k").alias("b")))).distinct()
 
 
@@ -148,16 +150,20 @@ def rest_pairs(met: DataFrame, texts: DataFrame, grouped: DataFrame, similarity:
 
     grouped: k, k2, component.
     """
-    own = met.where(F.col("m") > SMALL).join(texts.select("k", "k2", "n"), "k").join(grouped, ["k", "k2"], "left")
-    own = own.select("v", "m", "k", "n", F.coalesce("component", F.struct("k", "k2")).alias("c"))
+    large = met.where(F.col("m") > SMALL)
+    # all large buckets of a line, to tell in which one a pair meets first
+    every = large.groupBy("k").agg(F.array_sort(F.collect_set("v")).alias("vs"))
+    own = large.join(every, "k").join(texts.select("k", "k2", "n"), "k").join(grouped, ["k", "k2"], "left")
+    own = own.select("v", "vs", "m", "k", "n", F.coalesce("component", F.struct("k", "k2")).alias("c"))
     mixed = own.groupBy("v").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("v")
     wide = F.ceil(F.col("m") / BLOCK).cast("int")
     placed = own.join(mixed, "v", "left_semi").withColumn("wide", wide).withColumn("at", F.pmod(F.xxhash64("k"), F.col("wide")).cast("int"))
-    left = placed.select("v", "at", F.explode(F.sequence("at", F.col("wide") - 1)).alias("to"), F.col("k").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"))
-    right = placed.select("v", F.col("at").alias("to"), F.explode(F.sequence(F.lit(0), "at")).alias("at"), F.col("k").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"))
-    alike = F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9
-    met_again = left.join(right, ["v", "at", "to"]).where((F.col("ca") != F.col("cb")) & alike & ((F.col("at") != F.col("to")) | (F.col("a") < F.col("b"))))
-    return ordered(met_again).distinct()
+    names = lambda x: [F.col("k").alias(x), F.col("c").alias(f"{x}_c"), F.col("n").alias(f"{x}_n"), F.col("vs").alias(f"{x}_vs")]
+    left = placed.select("v", "at", F.explode(F.sequence("at", F.col("wide") - 1)).alias("to"), *names("a"))
+    right = placed.select("v", F.col("at").alias("to"), F.explode(F.sequence(F.lit(0), "at")).alias("at"), *names("b"))
+    alike = F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n") - 1e-9
+    once = ((F.col("at") != F.col("to")) | (F.col("a") < F.col("b"))) & (F.array_min(F.array_intersect("a_vs", "b_vs")) == F.col("v"))
+    return ordered(left.join(right, ["v", "at", "to"]).where((F.col("a_c") != F.col("b_c")) & alike & once))
 
 
 def line_flags(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
