@@ -6,12 +6,14 @@ run of WINDOW words or more, or one that ends in a whole shorter item, is a hit;
 marked, and the state names the items that hold the window.
 
 The table of items is a stated set against which all documents are held.  It is read in blocks of
-at most BLOCK_CHARS characters, each an automaton of its own, so that what a task holds is bounded;
-each document meets every block.
-
-Defined results: null and empty texts have no words and are clean; items without words match
-nothing; items with the same words all count; with no items every document is clean; repeated rows
-give one result row each; further columns play no part.
+about BLOCK_CHARS characters (a longer item is a block by itself), each an automaton of its own.  A
+task holds one automaton and about GROUP_BYTES of documents at a time; each document meets every block.
+
+Defined results: null and empty texts have no words and are clean; a null doc_id stays null; items
+without words, without a text or without an id match nothing; item ids of any type are compared as
+strings; items with the same words all count, and rows of one item_id are one item; with no items every
+document is clean; repeated rows give one result row each; texts of any length are whole; an empty table
+gives no rows; further columns, whatever their names, play no part, and pass `remove_contaminated` as they are.
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from toolloom.llm.common import batches, light, table
+from toolloom.llm.common import batches, keyed, light, table, unkeyed
 
-WINDOW, SHARE, BLOCK_CHARS = 13, 20, 4_000_000
+WINDOW, SHARE, BLOCK_CHARS, GROUP_BYTES = 13, 20, 1_000_000, 16 << 20
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -37,11 +39,11 @@ def words(text: bytes) -> list[bytes]:
 class Automaton:
     """Suffix automaton of several word sequences; transitions by word."""
 
-    def __init__(self, items: list[tuple[int, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.vocabulary = {}
         self.next, self.link, self.length = [{}], [-1], [0]
-        ends: dict[int, set[int]] = {}
+        ends: dict[int, set[str]] = {}
         whole = []
         for item, ws in items:
             if not ws:
@@ -105,7 +107,7 @@ class Automaton:
             self.link[cur] = q if self.length[q] == self.length[p] + 1 else self._split(p, q, x)
         return cur
 
-    def hits(self, ws: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
+    def hits(self, ws: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Marked runs of words [from, to), by rising end, and the items that have a window there."""
         spans, found = [], set()
         ids = list(map(self.vocabulary.get, ws))
@@ -138,27 +140,40 @@ class Automaton:
 def automata(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text", most: int = BLOCK_CHARS) -> list:
     """Broadcast automata, one for each block of items of at most about `most` characters."""
     sc = benchmark.sparkSession.sparkContext
-    items = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null")
+    items = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null")
     total = items.agg(F.sum(F.length("t"))).first()[0] or 0
     n = max(1, -(-total // most))
     out = []
     for k in range(n):
         own = items.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k).collect()  # a block: bounded by `most`
-        out.append(sc.broadcast(Automaton([(int(r["i"]), words(r["t"].encode())) for r in own], window)))
+        out.append(sc.broadcast(Automaton([(r["i"], words(r["t"].encode())) for r in own], window)))
     return out
 
 
-def scan(text: bytes, built: list) -> tuple[list[bytes], np.ndarray, set[int]]:
-    """Words, which of them are hit, and the items found."""
-    ws = words(text)
-    step, found = np.zeros(len(ws) + 1, np.int64), set()
+def scan(texts: list[bytes], built) -> list[tuple[int, np.ndarray, set[str]]]:
+    """For each text the number of its words, which of them are hit, and the items found; `built` gives one automaton after the other."""
+    steps: list = [None] * len(texts)
+    found: list[set] = [set() for _ in texts]
+    sizes = [0] * len(texts)
     for a in built:
-        spans, own = a.hits(ws)
-        found |= own
-        for s, e in spans:
-            step[s] += 1
-            step[e] -= 1
-    return ws, np.cumsum(step[:-1]) > 0, found
+        for i, t in enumerate(texts):
+            ws = words(t)
+            sizes[i] = len(ws)
+            spans, own = a.hits(ws)
+            if spans:
+                found[i] |= own
+                step = steps[i] if steps[i] is not None else np.zeros(len(ws) + 1, np.int32)
+                for s, e in spans:
+                    step[s] += 1
+                    step[e] -= 1
+                steps[i] = step
+    return [(n, np.zeros(n, bool) if s is None else np.cumsum(s[:-1]) > 0, f) for n, s, f in zip(sizes, steps, found)]
+
+
+def one_by_one(sent: list):
+    """The automata of broadcasts; where there are several, each is read from this machine's copy and not kept."""
+    for b in sent:
+        yield b.value if len(sent) == 1 else b.load_from_path(b._path)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
@@ -167,17 +182,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     sent = automata(benchmark, window)
 
     def run(it):
-        built = [b.value for b in sent]
-        for ids, texts in batches(it):
+        for ids, texts in batches(it, most=GROUP_BYTES):
             cols = [[], [], [], [], []]
-            for t in texts:
-                ws, hit, found = scan(t, built)
+            for total, hit, found in scan(texts, one_by_one(sent)):
                 n = int(hit.sum())
-                for c, x in zip(cols, (len(ws), n, len(found), hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest(), n > 0 and share * n >= len(ws))):
+                for c, x in zip(cols, (total, n, len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), n > 0 and share * n >= total)):
                     c.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())))], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return unkeyed(keyed(docs).mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, spans: bool = True) -> DataFrame:
@@ -190,14 +203,13 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WIN
     names, at, schema = docs.columns, docs.columns.index("text"), docs.schema
 
     def run(it):
-        built = [b.value for b in sent]
         for batch in it:
             texts, keep = [], []
-            for x in batch.column(at).to_pylist():
-                raw = (x or "").encode()
-                ws, hit, _ = scan(raw, built)
+            own = batch.column(at).to_pylist()
+            for x, (total, hit, _) in zip(own, scan([(x or "").encode() for x in own], one_by_one(sent))):
                 n = int(hit.sum())
-                keep.append(not (n and share * n >= len(ws)))
+                keep.append(not (n and share * n >= total))
+                raw = (x or "").encode()
                 if n and keep[-1] and spans:
                     where = [m.span() for m in WORD.finditer(raw.lower())]
                     edge = np.flatnonzero(np.diff(np.r_[0, hit.astype(np.int8), 0]))

@@ -7,8 +7,12 @@ backpropagation through time with Adam on random windows of at most TRAIN_ROWS l
 most TRAIN_CHARS characters (documented bounds on what the driver holds).  Only text and lang are
 learned from; prediction reads whole texts and nothing else.
 
+Training rows are shared evenly among the languages, by a hash of their doc_id.
+
 Defined results: a text that is null or has no letter is `und` with score 0; so is every text when
-there are no labelled rows; repeated rows give one result row each; further columns play no part.
+there are no labelled rows; a null doc_id is not held out, stays null and is not learned from; repeated
+rows give one result row each; texts of any length are whole; an empty table gives no rows; further
+columns play no part, and those named in `keep` must not be called lang_pred or score.
 """
 
 from __future__ import annotations
@@ -202,15 +206,52 @@ def held_out() -> Column:
 def train(docs: DataFrame, most: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Network | None:
     """Fit to at most `most` whole labelled rows that are not held out, picked by a hash of their doc_id."""
     rows = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and doc_id is not null").where(~held_out()).where(F.length("text") <= chars)
-    keyed = rows.select(F.xxhash64("doc_id").alias("h"), "doc_id", "lang", "text")
+    hashed = rows.select(F.xxhash64("doc_id").alias("h"), "doc_id", "lang", "text")
     # the bound first, from hashes alone: so no partition sends more texts than those that are picked
-    bound = keyed.select("h").orderBy("h").limit(most).agg(F.max("h")).collect()[0][0]
-    if bound is None:
+    ranks = hashed.select("lang", "h").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(most).collect()  # a row for each language
+    if not ranks:
         return None
-    picked = keyed.where(F.col("h") <= bound).orderBy("h", "doc_id", "lang", "text").limit(most).collect()
+    # a language has its even share of the bound, whatever its share of the rows
+    share, picked = max(1, most // len(ranks)), []
+    for r in ranks:
+        own = hashed.where(F.col("lang") == r["lang"])
+        bound = own.select("h").orderBy("h").limit(share).agg(F.max("h")).collect()[0][0]
+        picked += own.where(F.col("h") <= bound).orderBy("h", "doc_id", "text").limit(share).collect()
     return fit([r["text"].encode() for r in picked], [r["lang"] for r in picked])
 
 
+def predict(net: Network | None, raw: list) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text."""
+    texts = [(x or "").encode() for x in raw]
+    letters = np.array([bool(x and LETTER.search(x)) for x in raw], bool)
+    pred, score = np.full(len(raw), "und", object), np.zeros(len(raw))
+    use = np.flatnonzero(letters) if net is not None else np.zeros(0, np.int64)
+    # at most 4 MB at a time
+    parts = np.cumsum([len(texts[i]) for i in use]) // (4 << 20) if len(use) else []
+    for k in np.unique(parts):
+        some = use[parts == k]
+        p = pool(net, [texts[i] for i in some])
+        pred[some] = np.array(net.langs, object)[p.argmax(axis=1)]
+        score[some] = np.clip(p.max(axis=1), 0, 1)
+    return pred, score
+
+
+def keep_known(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
+    """Rows of docs whose text has a letter and, where there is a network, a language with a score of `least` or more."""
+    light(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(net)
+    at = docs.columns.index("text")
+
+    def run(it):
+        for b in it:
+            raw = b.column(at).to_pylist()
+            pred, score = predict(sent.value, raw)
+            keep = score >= least if sent.value is not None else np.array([bool(x and LETTER.search(x)) for x in raw], bool)
+            yield b.filter(pa.array(keep & ((pred != "und") | (sent.value is None)), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, net: Network | None, keep: list[str] = []) -> DataFrame:
     """Columns `keep` of docs (doc_id at least), lang_pred and score of each row."""
     light(docs.sparkSession)
@@ -220,21 +261,8 @@ def identify(docs: DataFrame, net: Network | None, keep: list[str] = []) -> Data
     index = [docs.columns.index(c) for c in names]
 
     def run(it):
-        own = sent.value
         for b in it:
-            raw = b.column(at).to_pylist()
-            texts = [(x or "").encode() for x in raw]
-            letters = np.array([bool(x and LETTER.search(x)) for x in raw], bool)
-            pred, score = np.full(len(raw), "und", object), np.zeros(len(raw))
-            use = np.flatnonzero(letters)
-            # at most 4 MB at a time
-            parts = np.cumsum([len(texts[i]) for i in use]) // (4 << 20) if len(use) else []
-            for k in np.unique(parts):
-                some = use[parts == k]
-                if own is not None:
-                    p = pool(own, [texts[i] for i in some])
-                    pred[some] = np.array(own.langs, object)[p.argmax(axis=1)]
-                    score[some] = np.clip(p.max(axis=1), 0, 1)
+            pred, score = predict(sent.value, b.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in index), pa.array(pred, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
 
     schema = ", ".join(f"`{n}` {docs.schema[i].dataType.simpleString()}" for n, i in zip(names, index)) + ", lang_pred string, score double"

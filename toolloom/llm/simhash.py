@@ -14,9 +14,10 @@ Within a cell a search in breadth compares the members reached with those not ye
 so that a cell full of near copies of one text costs about one pass for each member that finds
 something new.
 
-Defined results: null and empty texts have fingerprint zero and link like any other; repeated
-rows give one result row each with the same values; an empty table gives no rows; further columns
-of the input play no part, whatever their names.
+Defined results: null and empty texts have fingerprint zero and link like any other; a null doc_id
+counts as one after all others and stays null; repeated rows give one result row each with the same
+values; rows of one doc_id with different texts are rows of their own; texts of any length are whole; an
+empty table gives no rows; further columns of the input play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from toolloom.llm.common import U64, batches, cut, light, mix, width
+from toolloom.llm.common import LAST, U64, batches, cut, doc_key, doc_name, light, mix, width
 from toolloom.llm.components import components
 
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
@@ -51,15 +52,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) of each row."""
+    """doc_id (as a key), th (hash of the text), fp (the fingerprint as a signed long) of each row."""
     light(docs.sparkSession)
 
     def run(it):
         for ids, texts in batches(it, "doc_id", "text"):
             fp = np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fp)], names=["doc_id", "fp"])
+            th = np.array([xxhash.xxh64_intdigest(t, SEED) for t in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(th), pa.array(fp)], names=["doc_id", "th", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(doc_key(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def embed(fp: np.ndarray) -> np.ndarray:
@@ -157,7 +159,7 @@ def cell_edges(cells_: DataFrame) -> DataFrame:
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp, component_id for each row of docs."""
+    """doc_id, th, fp, component_id for each row of docs."""
     fps = cut(fingerprints(docs, id_col, text_col))
     # fingerprints of equal value are one node, which carries its smallest doc_id
     nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
@@ -165,7 +167,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = nodes.join(grouped.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     heads = known.groupBy("component").agg(F.min("least").alias("component_id"))
     names = cut(known.join(heads, "component").select("fp", "component_id"))
-    return fps.join(names, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(names, "fp").select(doc_name(), "th", "fp", doc_name("component_id"))
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
@@ -176,6 +178,8 @@ def op8_simhash(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id.  Repeated rows of it stay."""
-    heads = near_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(heads, "doc_id", "left_semi").select(*docs.columns)
+    """One document of each group: the one with the smallest doc_id.  Repeated rows of it stay, and so do others of its doc_id in the group."""
+    heads = near_components(docs).where("doc_id <=> component_id").select(doc_key().alias("head"), F.col("th").alias("head_th")).distinct()
+    # columns of docs are named through docs: theirs may be called head, too
+    key, text = F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)), F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(heads, (key == heads["head"]) & (text == heads["head_th"]), "left_semi")
