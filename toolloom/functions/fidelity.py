@@ -41,6 +41,12 @@ def pretty(s: pd.Series) -> pd.Series:
     return s.map(lambda t: t if (v := decode(t)) is None else json.dumps(v, sort_keys=True, ensure_ascii=False, indent=2))
 
 
+@pandas_udf(StringType())
+def indented(s: pd.Series) -> pd.Series:
+    """Indented by two with keys in their order; text that is no JSON stays."""
+    return s.map(lambda t: t if (v := decode(t)) is None else json.dumps(v, ensure_ascii=False, indent=2))
+
+
 @pandas_udf(StringType())
 def format_arguments(s: pd.Series) -> pd.Series:
     """`a=1; b="x"` with top-level keys in order."""

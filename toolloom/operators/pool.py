@@ -50,3 +50,48 @@ def substitutes(args: DataFrame, pool: DataFrame, seed: int, most: int) -> DataF
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), "uuid", "message_index", "param", "other").cast("binary"))
     first = found.withColumn("least", F.min("level_rank").over(w)).where("level_rank = least").dropDuplicates(["uuid", "message_index", "param", "other"])
     return first.withColumn("pick", F.row_number().over(w.orderBy(key, "other"))).where(F.col("pick") <= most).drop("least")
+
+
+def levels(args: DataFrame) -> DataFrame:
+    """Arguments once for each level: level_rank and level (function, param, type), the keys of that level, and the rest.
+
+    args: func, param, p_type, cluster, value, source, ord, required.  Arguments of unknown type are no entries of the type level.
+    """
+    none = F.lit(None).cast("string")
+    own = lambda rank, level, kept: F.struct(F.lit(rank).alias("level_rank"), F.lit(level).alias("level"), *((F.col(c) if c in kept else none).alias(c) for c in ("func", "param", "p_type")))
+    types = F.when(F.col("p_type") != "unknown", own(2, "type", ("p_type",)))
+    each = F.filter(F.array(own(0, "function", ("func", "param")), own(1, "param", ("param",)), types), lambda x: x.isNotNull())
+    return args.select(F.explode(each).alias("k"), F.col("p_type").alias("type"), "cluster", "value", "source", "ord", "required").select("k.*", "type", "cluster", "value", "source", "ord", "required")
+
+
+LEVEL = ["level_rank", "level", "func", "param", "p_type"]
+
+
+def entries(args: DataFrame) -> DataFrame:
+    """One row for each entry of each level: observed, required (of any argument), type (the first that is known)."""
+    own = levels(args)
+    first = F.min_by(F.when(F.col("type") != "unknown", F.col("type")), F.when(F.col("type") != "unknown", F.col("ord")))
+    return own.groupBy(*LEVEL).agg(F.count(F.lit(1)).alias("observed"), F.bool_or("required").alias("required"), first.alias("type"))
+
+
+def pool(args: DataFrame, cap: int = CAP) -> DataFrame:
+    """The whole pool: the first `cap` distinct values of each cluster of each entry, with value_rank and occurrences."""
+    return values(levels(args), LEVEL, cap)
+
+
+def merge(snapshots: DataFrame, cap: int = CAP) -> DataFrame:
+    """One pool from the pools of several runs: LEVEL, cluster, value, value_rank, occurrences, and merged_count for each cluster.
+
+    snapshots: LEVEL, cluster, value, value_rank, occurrences, snapshot (its place in the order of runs).  Values come in
+    the order of runs and of their ranks; a cluster counts each run's kept values once.
+    """
+    key = [*LEVEL, "cluster"]
+    one = snapshots.groupBy(*key, "value").agg(F.min(F.struct("snapshot", "value_rank")).alias("first"), F.sum("occurrences").alias("occurrences"), F.count(F.lit(1)).alias("runs"))
+    w = Window.partitionBy(*key)
+    ranked = one.withColumn("value_rank", F.row_number().over(w.orderBy("first", "value"))).withColumn("merged_count", F.sum("runs").over(w))
+    return ranked.where(F.col("value_rank") <= cap).drop("first", "runs")
+
+
+def summary(records: int, files: int, calls: int, arguments: int, source_path: str, stats_path: str | None, cap: int, created_at: str) -> dict:
+    """The block `meta` of a pool's file."""
+    return {"created_at": created_at, "source_path": source_path, "files_count": files, "total_records": records, "total_function_calls": calls, "total_arguments": arguments, "stats_path": stats_path, "max_values_per_cluster": cap}
