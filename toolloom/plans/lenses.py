@@ -56,3 +56,25 @@ SCHEMAS = {
 
 def schemas(spark) -> DataFrame:
     return spark.createDataFrame([(k, *v) for k, v in SCHEMAS.items()], "function_name string, properties array<string>, required array<string>")
+
+
+def trajectories(spark, d) -> DataFrame:
+    """conversations as raw records: order_key, uuid, question, available_tools, messages, target_tools, metadata, all but the key as texts.
+
+    Calls are as in messages(); each has three arguments, and each record three tools and a server with one.
+    """
+    c = _t(spark, d, "conversations")
+    is_call = (F.col("role") == "assistant") & (F.col("turn") % 4).isin(1, 2)
+    held = F.to_json(F.struct(F.floor(F.col("turn") / 2).alias("half"), F.col("turn"), F.col("role").alias("who")))
+    call = F.when(is_call, F.struct(F.concat(F.lit("tool_"), (F.col("conv_id") % 7).cast("string")).alias("name"), held.alias("arguments")))
+    message = F.struct("turn", F.struct("role", F.col("text").alias("content"), call.alias("function_call")).alias("m"))
+    one = c.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(message)), lambda x: x["m"]).alias("said"))
+    kind = lambda t: F.struct(F.lit(t).alias("type"))
+    schema = F.struct(F.lit("object").alias("type"), F.struct(kind("integer").alias("turn"), F.struct(F.lit("number").alias("type"), F.lit("of the turn").alias("description")).alias("half"), kind("string").alias("who")).alias("properties"), F.array(F.lit("turn"), F.lit("half")).alias("required"))
+
+    def tool(k: int):
+        n = ((F.col("conv_id") + k) % 7).cast("string")
+        return F.struct(F.struct(F.concat(F.lit("tool_"), n).alias("name"), F.concat(F.lit("Tool "), n, F.lit(" as of "), F.col("conv_id").cast("string")).alias("description"), schema.alias("parameters")).alias("function"))
+
+    server = F.struct(F.struct(F.array(F.struct(F.concat(F.lit("srv_"), (F.col("conv_id") % 3).cast("string")).alias("name"))).alias("tools")).alias("remote_server_response"))
+    return one.select(F.col("conv_id").alias("order_key"), F.col("conv_id").cast("string").alias("uuid"), F.lit(None).cast("string").alias("question"), F.to_json(F.array(tool(0), tool(1), tool(3))).alias("available_tools"), F.to_json("said").alias("messages"), F.concat(F.lit("tool_"), (F.col("conv_id") % 7).cast("string")).alias("target_tools"), F.to_json(F.struct(F.array(server).alias("mcp_servers"))).alias("metadata"))

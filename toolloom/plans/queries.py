@@ -36,10 +36,13 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict:
+    from toolloom.plans import trajectories  # noqa: F401  it adds its own
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_sql)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -35,3 +36,14 @@ def ship(spark: SparkSession) -> SparkSession:
     sc.addPyFile(path)
     sc._toolloom_sent = True
     return spark
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the cluster names in spark.checkpoint.dir; where it is unset and all runs on one machine, in a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="toolloom-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return f"{found}/{name}-{uuid.uuid4().hex}"
