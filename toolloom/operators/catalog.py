@@ -23,7 +23,7 @@ def calls(messages_: DataFrame) -> DataFrame:
 
 
 def usage(mentions: DataFrame, order: str) -> DataFrame:
-    """function_name, count, rank: by falling count, ties by first encounter."""
+    """function_name, count, rank: by falling count, ties by first encounter.  The window is over one row for each name."""
     n = mentions.where("function_name <> ''").groupBy("function_name").agg(F.count(F.lit(1)).alias("count"), F.min(order).alias("first"))
     return n.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("count"), "first", "function_name"))).select("function_name", "count", "rank")
 

@@ -2,49 +2,76 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from toolloom.functions import text as X
+from toolloom.session import ship
 
 
-def neighbours(profiles: DataFrame, k: int) -> DataFrame:
-    """function_name, other, score: the k tools with most tokens in common, ties by falling name.
+#: (tool, token) rows up to which nearest() broadcasts its index: 4 bytes each, and the names.
+INDEX_ROWS = 5_000_000
 
-    Tokens that every tool has add the same to each score and are left out; a tool with fewer than k
-    partners in common words has fewer rows (filling up with tools without common words is not done yet).
+
+def nearest(profiles: DataFrame, k: int, most: int = INDEX_ROWS) -> DataFrame:
+    """function_name, other, score, rank: the k other tools with most tokens in common, ties by falling name.
+
+    profiles: function_name (distinct), tokens (array).  Tools without a common token fill up.  A catalog of
+    up to `most` rows (tool, token) is indexed once and broadcast; a larger one is joined with itself by token.
     """
+    rows = profiles.select("function_name", F.explode(F.array_distinct("tokens")).alias("token"))
+    return _nearest_by_index(profiles, rows, k) if rows.limit(most + 1).count() <= most else _nearest_by_join(profiles, rows, k)
+
+
+def _nearest_by_index(profiles: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    ship(profiles.sparkSession)
+    known = rows.toPandas()
+    names = np.array(sorted(r["function_name"] for r in profiles.select("function_name").collect()), object)
+    place = {x: i for i, x in enumerate(names)}
+    codes, tokens = pd.factorize(known["token"])
+    order = np.argsort(codes, kind="stable")
+    tools = known["function_name"].map(place).to_numpy(np.int32, na_value=0)[order]
+    first = np.searchsorted(codes[order], np.arange(len(tokens) + 1))
+    sent = profiles.sparkSession.sparkContext.broadcast((names, {t: i for i, t in enumerate(tokens)}, first, tools))  # bounded by INDEX_ROWS
+
+    def run(parts):
+        names, code, first, tools = sent.value
+        n, at = len(names), {x: i for i, x in enumerate(names)}
+        top = min(k, n - 1)
+        for pdf in parts:
+            out = []
+            for name, own in zip(pdf["function_name"], pdf["tokens"]):
+                lists = [tools[first[c] : first[c + 1]] for t in set(own) if (c := code.get(t)) is not None]
+                score = np.bincount(np.concatenate(lists), minlength=n) if lists else np.zeros(n, np.int64)
+                key = score * n + np.arange(n)  # names ascend, so a later one wins a tie
+                key[at[name]] = -1
+                if top > 0:
+                    best = np.argpartition(key, n - top)[n - top :]
+                    best = best[np.argsort(-key[best])]
+                    out += [(name, names[b], int(score[b]), r + 1) for r, b in enumerate(best)]
+            yield pd.DataFrame(out, columns=["function_name", "other", "score", "rank"])
+
+    return profiles.select("function_name", "tokens").mapInPandas(run, "function_name string, other string, score long, rank int")
+
+
+def _nearest_by_join(profiles: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     total = profiles.count()
-    words = profiles.select("function_name", F.explode("tokens").alias("token"))
-    rare = words.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < total).select("token")
-    words = words.join(rare, "token")
+    counted = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    # tokens that every tool has add the same to each score
+    every = counted.where(F.col("n") == total).count()
+    words = rows.join(counted.where(F.col("n") < total).select("token"), "token")
     pairs = words.join(words.withColumnRenamed("function_name", "other"), "token").where("function_name <> other")
-    score = pairs.groupBy("function_name", "other").agg(F.count(F.lit(1)).alias("score"))
+    score = pairs.groupBy("function_name", "other").agg((F.count(F.lit(1)) + every).alias("score"))
     rank = F.row_number().over(Window.partitionBy("function_name").orderBy(F.desc("score"), F.desc("other")))
-    return score.withColumn("rank", rank).where(F.col("rank") <= k)
-
-
-def available(calls: DataFrame, tools: DataFrame, near: DataFrame, catalog: DataFrame, negatives: int, seed: int) -> DataFrame:
-    """question rows: uuid, message_index, position, option, is_answer.
-
-    calls: uuid, message_index, func.  tools: uuid, function_name (available to the record).  Wrong
-    options are other available tools first (by hash), then neighbours of the right one, then any tool
-    by hash.  No question where the call's tool is not available.
-    """
-    ok = calls.join(tools.select("uuid", F.col("function_name").alias("func")).distinct(), ["uuid", "func"], "left_semi")
-    key = ["uuid", "message_index"]
-    own = ok.join(tools.distinct(), "uuid").where("function_name <> func").select(*key, "func", F.col("function_name").alias("option"), F.lit(0).alias("tier"), F.lit(0).alias("n"))
-    have = tools.select("uuid", F.col("function_name").alias("option")).distinct()
-    semantic = ok.join(near.select(F.col("function_name").alias("func"), F.col("other").alias("option"), F.col("rank").alias("n")), "func").join(have, ["uuid", "option"], "left_anti").select(*key, "func", "option", F.lit(1).alias("tier"), "n")
-    # any tool: the first by a hash of the tool alone are enough for every call, less those it has
-    some = catalog.orderBy(X.rank_key(seed, F.col("function_name")), "function_name").limit(4 * negatives).select(F.col("function_name").alias("option"))
-    other = ok.join(F.broadcast(some)).where("option <> func").join(have, ["uuid", "option"], "left_anti").select(*key, "func", "option", F.lit(2).alias("tier"), F.lit(0).alias("n"))
-    every = own.unionByName(semantic).unionByName(other)
-    one = every.groupBy(*key, "func", "option").agg(F.min(F.struct("tier", "n")).alias("t"))
-    w = Window.partitionBy(*key).orderBy("t.tier", "t.n", X.rank_key(seed, F.col("uuid"), F.col("message_index"), F.col("option")), "option")
-    wrong = one.withColumn("r", F.row_number().over(w)).where(F.col("r") <= negatives).select(*key, "option", F.lit(False).alias("is_answer"))
-    options = wrong.unionByName(wrong.select(*key).distinct().join(ok, key).select(*key, F.col("func").alias("option"), F.lit(True).alias("is_answer")))
-    return shuffled(options, key, seed)
+    scored = score.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
+    # what fills up: of the last 2k + 1 names at most k + 1 are the tool's own or scored
+    last = profiles.select(F.col("function_name").alias("other")).orderBy(F.desc("other")).limit(2 * k + 1)
+    many = scored.groupBy("function_name").agg(F.count(F.lit(1)).alias("n"))
+    short = profiles.select("function_name").join(many, "function_name", "left").where(F.coalesce("n", F.lit(0)) < k).select("function_name")
+    fill = short.join(F.broadcast(last)).where("function_name <> other").join(scored, ["function_name", "other"], "left_anti").withColumn("score", F.lit(every).cast("long"))
+    return scored.unionByName(fill.select("function_name", "other", "score")).withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def shuffled(options: DataFrame, key: list[str], seed: int) -> DataFrame:
@@ -96,7 +123,3 @@ def value_options(args: DataFrame, picks: DataFrame, negatives: int, seed: int)
     few = wrong.withColumn("r", F.row_number().over(w)).where(F.col("r") <= negatives)
     rows = few.select(*key, "option", F.lit(False).alias("is_answer")).unionByName(few.select(*key, F.col("right").alias("option"), F.lit(True).alias("is_answer")).distinct())
     return shuffled(rows, key, seed)
-
-
-#: Strategies by name: the way to add one's own.
-BUILDERS = {"available": available, "params": param_options, "param_values": value_options}

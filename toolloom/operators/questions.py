@@ -20,18 +20,6 @@ COLUMNS = ["mode", "question", "options", "answer", "function_name", "record_uui
 FAMILY_SHARE = 0.3
 
 
-def nearest(profiles: DataFrame, k: int) -> DataFrame:
-    """function_name, other, score, rank: the k other tools with most tokens in common, ties by falling name; tools without a common word fill up."""
-    scored = mcq.neighbours(profiles, k).select("function_name", "other", "score")
-    # what fills up: at most k of the last k + 1 names, as one may be the tool's own
-    last = profiles.select(F.col("function_name").alias("other")).orderBy(F.desc("other")).limit(2 * k + 1)
-    many = scored.groupBy("function_name").agg(F.count(F.lit(1)).alias("n"))
-    short = profiles.select("function_name").join(many, "function_name", "left").where(F.coalesce("n", F.lit(0)) < k).select("function_name")
-    fill = short.join(F.broadcast(last)).where("function_name <> other").join(scored, ["function_name", "other"], "left_anti").withColumn("score", F.lit(0).cast("long"))
-    rank = F.row_number().over(Window.partitionBy("function_name").orderBy(F.desc("score"), F.desc("other")))
-    return scored.unionByName(fill.select("function_name", "other", "score")).withColumn("rank", rank).where(F.col("rank") <= k)
-
-
 def distractors(asked: DataFrame, have: DataFrame, profiles: DataFrame, seed: int) -> DataFrame:
     """uuid, message_index, option: up to `needed` tools that the record lacks.
 
@@ -46,7 +34,7 @@ def distractors(asked: DataFrame, have: DataFrame, profiles: DataFrame, seed: in
     # of a family the first k by a hash of the member alone, and of all tools likewise
     first = named.withColumn("r", F.row_number().over(Window.partitionBy("family").orderBy(X.rank_key(seed, F.col("function_name")), "function_name"))).where(F.col("r") <= k)
     kin = named.join(first.select("family", F.col("function_name").alias("option")), "family").select(F.col("function_name").alias("func"), "option", F.lit(0).alias("tier"), F.lit(0).alias("n"))
-    near = nearest(profiles, k).select(F.col("function_name").alias("func"), F.col("other").alias("option"), F.lit(1).alias("tier"), F.col("rank").alias("n"))
+    near = mcq.nearest(profiles, k).select(F.col("function_name").alias("func"), F.col("other").alias("option"), F.lit(1).alias("tier"), F.col("rank").alias("n"))
     some = profiles.orderBy(X.rank_key(seed, F.col("function_name")), "function_name").limit(k).select(F.col("function_name").alias("option"), F.lit(2).alias("tier"), F.lit(0).alias("n"))
     every = asked.join(kin.unionByName(near), "func").select(*KEY, "func", "needed", "option", "tier", "n").unionByName(asked.join(F.broadcast(some)).select(*KEY, "func", "needed", "option", "tier", "n"))
     every = every.where("option <> func").join(have.select("uuid", F.col("function_name").alias("option")).distinct(), ["uuid", "option"], "left_anti")
@@ -172,3 +160,7 @@ def build(records: DataFrame, catalog: DataFrame, mode: str, negatives: int = 9,
         raise ValueError(f"no mode {mode}")
     out = rows(options, calls, mode)
     return out.orderBy("record_uuid", "message_index").limit(max_samples) if max_samples else out
+
+
+#: Strategies by name: the way to add one's own.
+BUILDERS = {"available": available, "params": params, "param_values": param_values}

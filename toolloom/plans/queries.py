@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from toolloom.functions import text as X
-from toolloom.operators import assemble, catalog, mcq, pool, sampling
+from toolloom.operators import assemble, catalog, mcq, pool, questions, sampling
 from toolloom.plans import lenses as L
 
 SEED = 42
+#: Names up to which a record's decoys are listed from a literal; mcq.nearest and questions.distractors serve larger catalogs.
+DECOYS = 1000
 _queries: dict = {}
 _sql: dict[str, str] = {}
 
@@ -162,17 +164,20 @@ def profiles_tokens(spark, d):
     return _profiles(spark, d).select("function_name", F.explode("tokens").alias("token"))
 
 
-@query(f"WITH {PROFILE}, n AS (SELECT token FROM prof GROUP BY token HAVING count(*) < (SELECT count(DISTINCT function_name) FROM prof)), p AS (SELECT * FROM prof WHERE token IN (SELECT token FROM n)), s AS (SELECT a.function_name, b.function_name AS other, count(*) AS score FROM p a JOIN p b ON a.token = b.token AND a.function_name <> b.function_name GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY function_name ORDER BY score DESC, other DESC) AS rank FROM s) SELECT * FROM r WHERE rank <= 5")
+@query(f"WITH {PROFILE}, t AS (SELECT function_name, list(token) AS tokens FROM prof GROUP BY 1), s AS (SELECT a.function_name, b.function_name AS other, len(list_intersect(a.tokens, b.tokens)) AS score FROM t a JOIN t b ON a.function_name <> b.function_name), r AS (SELECT *, row_number() OVER (PARTITION BY function_name ORDER BY score DESC, other DESC) AS rank FROM s) SELECT * FROM r WHERE rank <= 5")
 def semantic_neighbours_topk(spark, d):
-    return mcq.neighbours(_profiles(spark, d), 5)
+    return mcq.nearest(_profiles(spark, d), 5)
 
 
 @query("WITH c AS (SELECT DISTINCT event_type AS f FROM events), h AS (SELECT DISTINCT user_id AS uuid, event_type AS f FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) < 10), u AS (SELECT DISTINCT user_id AS uuid FROM events) SELECT uuid, f AS function_name FROM u, c WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.uuid = u.uuid AND h.f = c.f)")
 def decoy_pool_antijoin(spark, d):
     c = L.calls(spark, d).select("uuid", F.col("func").alias("function_name"), "k")
-    names = c.select("function_name").distinct()  # the event types, five
-    have = c.where("k < 10").select("uuid", "function_name").distinct()
-    return c.select("uuid").distinct().join(F.broadcast(names)).join(have, ["uuid", "function_name"], "left_anti")
+    names = sorted(r["function_name"] for r in c.select("function_name").distinct().limit(DECOYS + 1).collect())
+    if len(names) > DECOYS:
+        raise ValueError("more names than a record's decoys can be listed from")
+    have = c.where("k < 10").groupBy("uuid").agg(F.collect_set("function_name").alias("have"))
+    lacks = c.select("uuid").distinct().join(have, "uuid", "left").select("uuid", F.array_except(F.array(*map(F.lit, names)), F.coalesce("have", F.array().cast("array<string>"))).alias("lacks"))
+    return lacks.select("uuid", F.explode("lacks").alias("function_name"))
 
 
 @query("SELECT * FROM (VALUES ('get_lineitem', 'l_linenumber, l_orderkey', true), ('get_lineitem', 'l_linenumber', false), ('get_lineitem', 'l_orderkey', false), ('get_lineitem', 'l_linenumber, l_orderkey, l_partkey', false), ('get_lineitem', 'l_linenumber, l_orderkey, l_quantity', false), ('get_order', 'o_orderkey', true), ('get_order', 'o_custkey, o_orderkey', false), ('get_order', 'o_orderdate, o_orderkey', false), ('get_nation', 'n_name, n_nationkey', true), ('get_nation', 'n_name', false), ('get_nation', 'n_nationkey', false), ('get_nation', 'n_name, n_nationkey, n_regionkey', false)) AS t(function_name, option, is_answer)")
@@ -180,13 +185,30 @@ def params_mcq_options(spark, d):
     return mcq.param_options(L.schemas(spark))
 
 
-@query()
+FAMILY = "CASE WHEN len(string_split(f, '-')) >= 3 THEN array_to_string(string_split(f, '-')[1:3], '-') WHEN len(string_split(f, '-')) = 2 THEN f WHEN len(string_split(f, '_')) >= 2 THEN array_to_string(string_split(f, '_')[1:2], '_') ELSE f END"
+DRAWN = "md5('42|' || CAST(uuid AS VARCHAR) || '|' || CAST(message_index AS VARCHAR) || '|' || option)"
+SHUFFLED = """SELECT uuid, message_index, option, is_answer, CAST(position AS INT) AS position, chr(CAST(65 + position AS INT)) AS letter FROM (SELECT *, row_number() OVER (PARTITION BY uuid, message_index ORDER BY md5('42s|' || CAST(uuid AS VARCHAR) || '|' || CAST(message_index AS VARCHAR) || '|' || option), option) - 1 AS position FROM opt)"""
+AVAILABLE = f"""WITH {CALLS}, fam AS (SELECT f, {FAMILY} AS family, list_distinct(regexp_extract_all(lower(replace(f, '_', ' ')), '[a-z0-9]+')) AS tokens FROM (SELECT DISTINCT func AS f FROM calls)),
+have AS (SELECT DISTINCT uuid, func AS option FROM calls WHERE k % 2 = 0), ok AS (SELECT uuid, message_index, func FROM calls WHERE EXISTS (SELECT 1 FROM have WHERE have.uuid = calls.uuid AND option = func)),
+base AS (SELECT * FROM (SELECT uuid, message_index, option, row_number() OVER (PARTITION BY uuid, message_index ORDER BY {DRAWN}, option) AS r FROM ok JOIN have USING (uuid) WHERE option <> func) WHERE r <= 3),
+need AS (SELECT ok.*, 3 - coalesce(n, 0) AS needed FROM ok LEFT JOIN (SELECT uuid, message_index, count(*) AS n FROM base GROUP BY 1, 2) USING (uuid, message_index)),
+cand AS (SELECT uuid, message_index, needed, b.f AS option, a.family = b.family AS kin, len(list_intersect(a.tokens, b.tokens)) AS score FROM need JOIN fam a ON a.f = func JOIN fam b ON b.f <> func WHERE needed > 0 AND NOT EXISTS (SELECT 1 FROM have WHERE have.uuid = need.uuid AND have.option = b.f)),
+kin AS (SELECT *, kin AND row_number() OVER (PARTITION BY uuid, message_index, kin ORDER BY {DRAWN}, option) <= greatest(1, CAST(round_even(needed * 0.3, 0) AS INT)) AS near FROM cand),
+tier AS (SELECT *, CASE WHEN near THEN 0 ELSE 1 END AS t, count(*) FILTER (WHERE near) OVER (PARTITION BY uuid, message_index) AS k FROM kin),
+place AS (SELECT *, CASE WHEN t = 0 THEN row_number() OVER (PARTITION BY uuid, message_index, t ORDER BY {DRAWN}, option) ELSE row_number() OVER (PARTITION BY uuid, message_index, t ORDER BY score DESC, option DESC) END AS p FROM tier),
+choice AS (SELECT *, CASE WHEN t = 0 THEN 0 WHEN p <= greatest(0, needed - k - 1) THEN 1 ELSE 2 END AS c FROM place),
+decoy AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uuid, message_index ORDER BY c, CASE WHEN c < 2 THEN p END, {DRAWN}, option) AS l FROM choice) WHERE l <= needed),
+wrong AS (SELECT uuid, message_index, option FROM base UNION ALL SELECT uuid, message_index, option FROM decoy),
+opt AS (SELECT *, false AS is_answer FROM wrong UNION ALL SELECT uuid, message_index, func, true FROM ok WHERE EXISTS (SELECT 1 FROM wrong WHERE wrong.uuid = ok.uuid AND wrong.message_index = ok.message_index)) """
+
+
+@query(AVAILABLE + SHUFFLED)
 def available_mcq(spark, d):
     c = L.calls(spark, d)
     names = c.select(F.col("func").alias("function_name")).distinct()
     prof = names.select("function_name", X.tokens(F.replace("function_name", F.lit("_"), F.lit(" "))).alias("tokens"))
     tools = c.where("k % 2 = 0").select("uuid", F.col("func").alias("function_name"))
-    return mcq.available(c.select("uuid", "message_index", "func"), tools, mcq.neighbours(prof, 5), names, 3, SEED)
+    return questions.available(c.select("uuid", "message_index", "func"), tools, prof, 3, SEED)
 
 
 ARGS2 = f"{CALLS}, args AS (SELECT uuid, message_index, func, 'k' AS param, CAST(k AS VARCHAR) AS value FROM calls UNION ALL SELECT uuid, message_index, func, 'half', CAST(k // 2 AS VARCHAR) FROM calls)"
@@ -205,12 +227,21 @@ def _picks(spark, d, most=3) -> DataFrame:
     return pool.substitutes(a, p, SEED, most)
 
 
-@query(f"WITH {CALLS}, a AS (SELECT func, {CLUSTER} AS cluster, k, min(event_id) AS f FROM calls GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER (PARTITION BY func, cluster ORDER BY f, CAST(k AS VARCHAR)) AS value_rank FROM a), p AS (SELECT func, CAST(k AS VARCHAR) AS other FROM r WHERE value_rank <= 8), s AS (SELECT c.uuid, c.message_index, 'k' AS param, CAST(c.k AS VARCHAR) AS value, p.other FROM calls c JOIN p ON p.func = c.func AND p.other <> CAST(c.k AS VARCHAR)), t AS (SELECT *, row_number() OVER (PARTITION BY uuid, message_index, param ORDER BY md5('42|' || CAST(uuid AS VARCHAR) || '|' || CAST(message_index AS VARCHAR) || '|' || param || '|' || other), other) AS pick FROM s) SELECT uuid, message_index, param, value, other, pick FROM t WHERE pick <= 3")
+PICKS = f"{CALLS}, a AS (SELECT func, {CLUSTER} AS cluster, k, min(event_id) AS f FROM calls GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER (PARTITION BY func, cluster ORDER BY f, CAST(k AS VARCHAR)) AS value_rank FROM a), p AS (SELECT func, CAST(k AS VARCHAR) AS other FROM r WHERE value_rank <= 8), s AS (SELECT c.uuid, c.message_index, 'k' AS param, CAST(c.k AS VARCHAR) AS value, p.other FROM calls c JOIN p ON p.func = c.func AND p.other <> CAST(c.k AS VARCHAR)), t AS (SELECT *, row_number() OVER (PARTITION BY uuid, message_index, param ORDER BY md5('42|' || CAST(uuid AS VARCHAR) || '|' || CAST(message_index AS VARCHAR) || '|' || param || '|' || other), other) AS pick FROM s), picks AS (SELECT * FROM t WHERE pick <= 3)"
+
+
+@query(f"WITH {PICKS} SELECT uuid, message_index, param, value, other, pick FROM picks")
 def pool_substitution_variants(spark, d):
     return _picks(spark, d).select("uuid", "message_index", "param", "value", "other", "pick")
 
 
-@query()
+VALUES = f"""WITH {PICKS}, b AS (SELECT uuid, message_index, 'half=' || CAST(k // 2 AS VARCHAR) AS h, 'k=' || CAST(k AS VARCHAR) AS x FROM calls),
+w AS (SELECT uuid, message_index, h AS option FROM b UNION SELECT uuid, message_index, x FROM b UNION SELECT uuid, message_index, h || '; k=' || other FROM b JOIN picks USING (uuid, message_index)),
+ranked AS (SELECT w.*, row_number() OVER (PARTITION BY uuid, message_index ORDER BY {DRAWN}, option) AS r FROM w JOIN b USING (uuid, message_index) WHERE option <> h || '; ' || x),
+opt AS (SELECT uuid, message_index, option, false AS is_answer FROM ranked WHERE r <= 4 UNION ALL SELECT uuid, message_index, h || '; ' || x, true FROM b) """
+
+
+@query(VALUES + SHUFFLED)
 def param_values_mcq(spark, d):
     return mcq.value_options(L.two_args(spark, d), _picks(spark, d).select("uuid", "message_index", "param", "other"), 4, SEED)
 
@@ -251,7 +282,13 @@ def mcq_injection_order(spark, d):
     return _blocks(spark, d).select("uuid", "message_index", "mode_rank", "block")
 
 
-@query()
+INDENTED = r"regexp_replace(trim(content, ' '), '(?m)^(.*\S)', '    \1', 'g')"
+ASSEMBLED = rf"""WITH {MARKED}, blk AS (SELECT uuid, message_index, mode_rank, '[MCQ:' || mode || '|msg=' || CAST(message_index AS VARCHAR) || ']' || chr(10) || 'Question:' || chr(10) || '  Which ' || func || '?' || chr(10) || 'Options:' || chr(10) || '  A. x' || chr(10) || '  B. y' AS block FROM msg, (VALUES ('available', 0), ('params', 1), ('param_values', 2)) AS m(mode, mode_rank) WHERE is_call), parts AS (SELECT uuid, message_index, mode_rank, regexp_replace(block, '(?m)^(.*\S)', '    \1', 'g') AS part FROM blk
+ UNION ALL SELECT uuid, message_index, 9, CASE WHEN is_call THEN '  assistant (function_call: ' || func || ') @msg=' || CAST(message_index AS VARCHAR) || ':' ELSE CASE WHEN marker THEN '  [[原文回答]]' || chr(10) ELSE '' END || '  ' || role || ':' END || chr(10) || {INDENTED} FROM marked)
+SELECT uuid, '=== Record | uuid=' || CAST(uuid AS VARCHAR) || ' ===' || chr(10) || 'Messages:' || chr(10) || string_agg(part, chr(10) ORDER BY message_index, mode_rank) || chr(10) AS text FROM parts GROUP BY uuid"""
+
+
+@query(ASSEMBLED)
 def assembled_text(spark, d):
     return assemble.assembled(L.messages(spark, d), _blocks(spark, d))
 
