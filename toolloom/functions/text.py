@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that results depend on: syllables of aliases, and their prefix.
-CONSONANTS = "bcdfglnrstv"
-VOWELS = "aeiou"
+# Fixed values that results depend on: the syllables of aliases, and their prefix.
+SYLLABLES = (
+    "ba", "be", "bi", "bo", "bu", "ca", "ce", "ci", "co", "cu", "da", "de", "di", "do", "du", "fa", "fe", "fi", "fo", "fu",
+    "ga", "ge", "gi", "go", "gu", "la", "le", "li", "lo", "lu", "na", "ne", "ni", "no", "nu", "ra", "re", "ri", "ro", "ru",
+    "sa", "se", "si", "so", "su", "ta", "te", "ti", "to", "tu", "va", "ve", "vi", "vo", "vu",
+)
 ALIAS_PREFIX = "func_"
 
+# The wording of questions, which rows must match.
 QUESTION_AVAILABLE = "Given the available tools (with decoys), which one should the agent call next?"
 QUESTION_PARAMS = "When calling {}, which parameters must be provided? (Select all that apply)"
 QUESTION_VALUES = "For the call to {}, which parameter values are correct?"
@@ -20,8 +24,7 @@ def alias(name: Column, salt: Column, attempt: Column) -> Column:
     h = F.sha1(F.concat_ws("|", salt, name, attempt.cast("string")).cast("binary"))
 
     def syllable(k: int) -> Column:
-        b = F.conv(F.substring(h, 2 * k + 1, 2), 16, 10).cast("int") % 55
-        return F.concat(F.substring(F.lit(CONSONANTS), F.floor(b / 5).cast("int") + 1, F.lit(1)), F.substring(F.lit(VOWELS), b % 5 + 1, F.lit(1)))
+        return F.get(F.array(*map(F.lit, SYLLABLES)), F.conv(F.substring(h, 2 * k + 1, 2), 16, 10).cast("int") % len(SYLLABLES))
 
     return F.concat(F.lit(ALIAS_PREFIX), syllable(0), syllable(1), syllable(2), F.right(h, F.lit(3)))
 
@@ -115,8 +118,8 @@ def payload_reason(question: Column, options: Column, answer: Column, canonical:
     """Why a generated question is refused; null if it is good.  Options are normalised texts."""
     norm = normalize_option(canonical)
     return (
-        F.when(question.isNull() | (F.trim(question) == ""), "invalid_question")
-        .when(options.isNull() | (F.size(options) < 2), "invalid_options")
+        F.when(question.isNull() | (question == ""), "invalid_question")
+        .when(options.isNull() | (F.size(options) == 0), "invalid_options")
         .when(~F.array_contains(F.transform(options, normalize_option), norm), "canonical_missing")
         .when(normalize_option(answer) != norm, "answer_mismatch")
     )

@@ -313,8 +313,8 @@ def json_block_extract(spark, d):
 
 def _refused(spark, d) -> DataFrame:
     e = spark.read.parquet(f"{d}/events.parquet").select("event_id", (F.col("event_id") % 5).alias("m"))
-    q = F.when(F.col("m") == 0, " ").otherwise("Which?")
-    options = F.when(F.col("m") == 1, F.array(F.lit("a=1"))).when(F.col("m") == 2, F.array(F.lit("a=2"), F.lit("a=3"))).otherwise(F.array(F.lit("a = 1"), F.lit("a=2")))
+    q = F.when(F.col("m") == 0, "").otherwise("Which?")
+    options = F.when(F.col("m") == 1, F.array().cast("array<string>")).when(F.col("m") == 2, F.array(F.lit("a=2"), F.lit("a=3"))).otherwise(F.array(F.lit("a = 1"), F.lit("a=2")))
     answer = F.when(F.col("m") == 3, "a=2").otherwise("a =1")
     return e.select("event_id", X.payload_reason(q, options, answer, F.lit("a=1")).alias("reason"))
 
