@@ -207,16 +207,17 @@ def train(docs: DataFrame, most: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) ->
     """Fit to at most `most` whole labelled rows that are not held out, picked by a hash of their doc_id."""
     rows = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and doc_id is not null").where(~held_out()).where(F.length("text") <= chars)
     hashed = rows.select(F.xxhash64("doc_id").alias("h"), "doc_id", "lang", "text")
-    # the bound first, from hashes alone: so no partition sends more texts than those that are picked
-    ranks = hashed.select("lang", "h").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(most).collect()  # a row for each language
-    if not ranks:
+    # first how many rows each language has, then only those whose hash is low enough that about the share of them passes
+    counts = {r["lang"]: r["n"] for r in hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(most).collect()}  # a row for each language
+    if not counts:
         return None
-    # a language has its even share of the bound, whatever its share of the rows
-    share, picked = max(1, most // len(ranks)), []
-    for r in ranks:
-        own = hashed.where(F.col("lang") == r["lang"])
-        bound = own.select("h").orderBy("h").limit(share).agg(F.max("h")).collect()[0][0]
-        picked += own.where(F.col("h") <= bound).orderBy("h", "doc_id", "text").limit(share).collect()
+    share = max(1, most // len(counts))
+    part = {l: min(1.0, (share + 4 * share**0.5 + 8) / n) for l, n in counts.items()}
+    bounds = F.create_map(*(F.lit(x) for l, p in part.items() for x in (l, min(int(-(2**63) + p * 2.0**64), 2**63 - 1))))
+    rows = hashed.where(F.col("h") <= F.element_at(bounds, F.col("lang"))).collect()
+    picked = []
+    for l in counts:
+        picked += sorted((r for r in rows if r["lang"] == l), key=lambda r: (r["h"], r["doc_id"], r["text"]))[:share]
     return fit([r["text"].encode() for r in picked], [r["lang"] for r in picked])
 
 
