@@ -1,13 +1,13 @@
 """Packing token sequences of documents into as few sequences of fixed capacity as possible.
 
 Only the histogram of piece lengths (at most CAPACITY numbers) reaches the driver.  There the
-configuration linear program -- minimise the number of sequences over all fillings ("configurations")
-such that each length is packed often enough -- is solved approximately by multiplicative weights: a
-filling of greatest weight comes from a knapsack dynamic program (the pricing step) and is used as far
-as it goes, weights of packed lengths fall, and so on.  Rounding takes whole numbers of each
-configuration; what is left over is packed best-fit, the longest piece first and then always the
-longest that still fits, with like fillings taken together, so that the work follows the histogram
-and not the number of pieces.
+configuration linear program -- as few sequences as possible over all fillings ("configurations") such
+that each length is packed as often as it occurs -- is solved approximately by multiplicative weights:
+a knapsack dynamic program over all lengths prices them and gives the fillings of greatest worth, which
+are used in whole numbers, prices of placed lengths fall, and so on (see solve()).  The prices bound the
+number of sequences from below.  What is left when no filling of nearly the best worth can be had any
+more is packed best-fit: the longest piece first and then always the longest that still fits, with like
+fillings taken together, so that the work follows the histogram and not the number of pieces.
 
 Pieces then find their places without meeting: the plan says that the pieces of length l with ranks
 from a to b lie, each `step` sequences on, at a given offset.  Ranks within a length come from counts
@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 from toolloom.llm.common import batches, crc_ids, cut, keyed, light, table, unkeyed, width
 from toolloom.llm.tokens import BLOCK, END, VOCABULARY, encoded, release
 
-CAPACITY, ROUNDS, SALTS = 4096, 400, 64
+CAPACITY, ROUNDS, SALTS = 4096, 25, 64
+#: How fast prices fall, and how much less than the best a filling may be worth.
+RATE, SLACK = 1.0, 0.01
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, name: str = VOCABULARY, end: int | None = END) -> DataFrame:
@@ -48,73 +50,89 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, name: str = VOCABULARY, en
     return keyed(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def price(lengths: np.ndarray, weights: np.ndarray, limit: np.ndarray, capacity: int) -> list[int]:
-    """Filling of greatest weight by dynamic programming over the capacity: lengths, at most `limit` of each.
+def fillings(weight: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pricing program: for each room the greatest weight of lengths that fit into it, any number of each, and the length to take first.
 
-    lengths are few and ascending; a length enters in powers of two of its limit, so each is one 0/1 item.
+    weight[l]: weight of length l, 0 for one that is not there.
     """
-    best = np.zeros(capacity + 1)
-    took = []
-    for l, w, m in zip(lengths.tolist(), weights.tolist(), limit.tolist()):
-        m = min(m, capacity // l)
-        k = 1
-        while m > 0:
-            k = min(k, m)
-            size, gain = l * k, w * k
-            if size <= capacity:
-                with_it = np.full(capacity + 1, -1.0)
-                with_it[size:] = best[: capacity + 1 - size] + gain
-                better = with_it > best
-                best = np.where(better, with_it, best)
-                took.append((l, k, better))
-            m -= k
-            k *= 2
-    room, out = int(np.argmax(best)), []
-    for l, k, better in reversed(took):
-        if better[room]:
-            out += [l] * k
-            room -= l * k
+    gain = np.where(weight[1 : capacity + 1] > 0, weight[1 : capacity + 1], -1.0)
+    best, first = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+    back = np.zeros(capacity + 1)  # best, backwards from the end, so that both operands ascend
+    for c in range(1, capacity + 1):
+        # lengths 1 to c leave rooms c - 1 to 0
+        total = gain[:c] + back[capacity + 1 - c :]
+        # of fillings worth the same the one that takes the longest length: short ones are of use elsewhere
+        k = int(np.flatnonzero(total >= total.max() - 1e-9)[-1])
+        best[c] = total[k]
+        first[c] = k + 1
+        if best[c] <= best[c - 1]:
+            best[c], first[c] = best[c - 1], 0  # a token of room is left free
+        back[capacity - c] = best[c]
+    return best, first
+
+
+def filling(first: np.ndarray, room: int) -> list[int]:
+    out = []
+    while room > 0:
+        l = int(first[room])
+        if l:
+            out.append(l)
+        room -= l or 1
     return out
 
 
-def configurations(count: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS, seed: int = 3) -> list[tuple[list[int], float]]:
-    """Fractional solution by multiplicative weights: (filling, how often).  count[l]: pieces of length l.
+def solve(count: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> tuple[list[tuple[list[int], int]], float]:
+    """Fillings with how often each is used, a whole number, and a lower bound on the number of sequences.
 
-    Each round prices a random subset of lengths (all of them where they are few) by the knapsack
-    program and takes the filling by 1/rounds of what its scarcest length allows.
+    The linear program: as few fillings as will hold each length as often as it occurs.  Its dual prices the
+    lengths so that no filling is worth more than one; any prices, divided by the worth of the best filling,
+    bound the number of sequences from below.  Multiplicative weights: the price of a length starts at its share
+    of the capacity and falls by exp(-RATE) times the share of its pieces that are placed.  Each round prices all
+    lengths by the dynamic program, which gives for every length the best filling that holds it; those worth
+    at least (1 - SLACK) of the best are used as often as their scarcest length allows.  A length of which all
+    pieces are placed has no price any more.  What no round places is the remainder that rounding leaves.
     """
-    present = np.flatnonzero(count[1 : capacity + 1]) + 1
-    left = count.astype(float).copy()
-    weight = np.zeros(capacity + 1)
-    weight[present] = present / capacity
-    rng = np.random.default_rng(seed)
-    out = []
+    left = count[: capacity + 1].astype(np.int64).copy()
+    share = np.arange(capacity + 1) / capacity
+    total = np.maximum(count[: capacity + 1], 1)
+    out, bound = [], 0.0
     for _ in range(rounds):
-        open_ = np.flatnonzero(left[: capacity + 1] >= 1)
-        if not len(open_):
+        if not left[1:].any():
             break
-        # long pieces first: they are hard to place, the short ones fill what they leave
-        some = open_ if len(open_) <= 160 else np.unique(np.r_[rng.choice(open_, 120, replace=False, p=left[open_] * weight[open_] / (left[open_] * weight[open_]).sum()), open_[:20], open_[-20:]])
-        fill = price(some, weight[some], left[some].astype(int), capacity)
-        ls, n = np.unique(fill, return_counts=True)
-        use = max(1.0, float(np.floor((left[ls] / n).min())) / 2 if len(open_) > 160 else float(np.floor((left[ls] / n).min())))
-        left[ls] -= use * n
-        weight[ls] *= np.exp(-0.5 * use * n / np.maximum(count[ls], 1))
-        out.append((fill, use))
-    return out
+        weight = share * np.exp(-RATE * (1 - left / total))
+        # for the bound all lengths are priced, for the fillings those that are left
+        if not out:
+            best, first = fillings(np.where(count[: capacity + 1] > 0, weight, 0.0), capacity)
+            bound = max(bound, float((count[1 : capacity + 1] * weight[1:]).sum() / best[capacity]))
+        else:
+            best, first = fillings(np.where(left > 0, weight, 0.0), capacity)
+        used = 0
+        for l in np.flatnonzero(left)[::-1].tolist():
+            if not left[l] or weight[l] + best[capacity - l] < (1 - SLACK) * best[capacity]:
+                continue
+            own = [l, *filling(first, capacity - l)]
+            ls, n = np.unique(own, return_counts=True)
+            times = int((left[ls] // n).min())
+            if times:
+                left[ls] -= times * n
+                out.append((sorted(own, reverse=True), times))
+                used += times
+        if not used:
+            break  # no filling of the best worth can be had as a whole: the rest is the remainder
+    return out, bound
 
 
 def plan(count: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> tuple[pd.DataFrame, int]:
     """Rows (length, rank_from, rank_to, first_sequence, offset) and the number of sequences.
 
     A piece of `length` with rank in [rank_from, rank_to) lies in sequence first_sequence + rank - rank_from.
+    attrs: `bound` (a lower bound on the number of sequences) and `priced` (sequences that the fillings make).
     """
     left = count.astype(np.int64).copy()
     used = np.zeros(capacity + 1, np.int64)
     rows, sequences = [], 0
-
-    def place(fill: list[int], times: int) -> None:
-        nonlocal sequences
+    chosen, bound = solve(left, capacity, rounds)
+    for fill, times in chosen:
         at = 0
         for l in fill:
             rows.append((l, int(used[l]), int(used[l]) + times, sequences, at))
@@ -122,17 +140,11 @@ def plan(count: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> t
             left[l] -= times
             at += l
         sequences += times
-
-    if left[capacity]:
-        place([capacity], int(left[capacity]))
-    for fill, use in configurations(left, capacity, rounds):
-        ls, n = np.unique(fill, return_counts=True)
-        times = int(min(np.floor(use), (left[ls] // n).min()))
-        # a filling that leaves room is left to best fit, which sees all the pieces that remain
-        if times > 0 and sum(fill) >= capacity - 2:
-            place(sorted(fill, reverse=True), times)
+    priced = sequences
     sequences = finish(left, used, rows, sequences, capacity)
-    return pd.DataFrame(rows, columns=["length", "rank_from", "rank_to", "first_sequence", "offset"]), sequences
+    out = pd.DataFrame(rows, columns=["length", "rank_from", "rank_to", "first_sequence", "offset"])
+    out.attrs |= {"bound": max(bound, float((count * np.arange(len(count))).sum()) / capacity), "priced": priced}
+    return out, sequences
 
 
 def finish(left: np.ndarray, used: np.ndarray, rows: list, sequences: int, capacity: int) -> int:
