@@ -4,10 +4,12 @@ Fingerprint: the majority of the XXH64 bits of all 4-word shingles of a text.  T
 link at MAX_BITS or fewer differing bits.  Candidates come from a segment-popcount embedding: a
 fingerprint is cut into 32 segments of two bits, each replaced by its count of one bits.  The
 Manhattan distance of two such vectors is never more than the number of differing bits, so linked
-fingerprints lie within MAX_BITS in the embedding.  With the 32 coordinates dealt over 7 axes
-groups, a distance of at most 4 leaves at least 3 groups without any difference: the grid has one
-cell for each of the 35 choices of 3 groups and each value there, and linked fingerprints share a
-cell.  Members of a cell are compared by Manhattan distance, then by exact Hamming distance.
+fingerprints lie within MAX_BITS in the embedding.  With the 32 coordinates dealt over g groups of
+axes, a distance of at most 4 leaves at least g - 4 groups without any difference: the grid has one
+cell for each choice of g - 4 groups and each value there, and linked fingerprints share a cell.  The
+more fingerprints there are, the more groups are taken (7 and 35 choices at least), so that few that
+do not link share a cell.  Members of a cell are compared by Manhattan distance, then by exact
+Hamming distance.
 Nothing is lost by this, and no pairs are emitted: a cell gives the edges of a spanning forest.
 
 Within a cell a search in breadth compares the members reached with those not yet reached only,
@@ -34,7 +36,8 @@ from toolloom.llm.common import LAST, U64, batches, cut, doc_key, doc_name, ligh
 from toolloom.llm.components import components
 
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
-GROUPS, SHARED = 7, 3
+#: Fingerprints that share a cell by chance, at most, if the groups allow it; numbers of groups to choose from.
+STRANGERS, GROUPS = 4, (7, 8, 9, 10, 11, 12)
 PAIRS = U64(0x5555555555555555)
 
 
@@ -80,8 +83,14 @@ def unary(e: np.ndarray) -> np.ndarray:
     return (e & PAIRS) | high | (high << U64(1))
 
 
-def masks(groups: int = GROUPS, shared: int = SHARED) -> np.ndarray:
-    """For each choice of groups of segments, a mask of the embedding's bits in them."""
+def groups_of(n: int) -> int:
+    """Groups of segments for n distinct fingerprints: a segment holds a bit and a half."""
+    return next((g for g in GROUPS if n / 2 ** (1.5 * 32 * (g - MAX_BITS) / g) <= STRANGERS), GROUPS[-1])
+
+
+def masks(groups: int = GROUPS[0]) -> np.ndarray:
+    """For each choice of groups of segments without a difference, a mask of the embedding's bits in them."""
+    shared = groups - MAX_BITS
     own = [sum(3 << (2 * s) for s in range(32) if s % groups == g) for g in range(groups)]
     return np.array([sum(own[g] for g in c) for c in combinations(range(groups), shared)], np.uint64)
 
@@ -104,9 +113,9 @@ def forest(fp: np.ndarray, most: int = MAX_BITS) -> list[tuple[int, int]]:
     return edges
 
 
-def cells(fps: DataFrame) -> DataFrame:
+def cells(fps: DataFrame, groups: int = GROUPS[0]) -> DataFrame:
     """cell, fp: each distinct fingerprint in its cells."""
-    chosen = masks()
+    chosen = masks(groups)
 
     def run(it):
         for batch in it:
@@ -163,7 +172,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fps = cut(fingerprints(docs, id_col, text_col))
     # fingerprints of equal value are one node, which carries its smallest doc_id
     nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    grouped = components(cell_edges(cells(nodes)))
+    grouped = components(cell_edges(cells(nodes, groups_of(nodes.count()))))
     known = nodes.join(grouped.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     heads = known.groupBy("component").agg(F.min("least").alias("component_id"))
     names = cut(known.join(heads, "component").select("fp", "component_id"))
