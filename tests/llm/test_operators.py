@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
-from toolloom.llm import chat, decontaminate, langid, line_dedup, packing, quality, simhash, substring, suffix_array, token_files, tokens
+from toolloom.llm import chat, decontaminate, langid, line_dedup, packing, quality, simhash, substring, suffix_array, token_files, tokens, words
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, home int, bucket int, label string"
@@ -132,6 +132,46 @@ def test_packing_plan_is_near_the_bound():
     assert n <= 1.01 * (count * np.arange(4097)).sum() / 4096 + 1
 
 
+@pytest.mark.parametrize("lengths", [[1300, 1400, 900, 2100, 700], list(range(100, 4097, 7)), [4096, 1, 2]])
+def test_packing_plan_places_all_and_keeps_its_bound(lengths):
+    rng = np.random.default_rng(6)
+    count = np.bincount(rng.choice(lengths, 3000), minlength=4097)
+    rows, n = packing.plan(count, rounds=6)
+    placed = rows.assign(k=rows["rank_to"] - rows["rank_from"]).groupby("length")["k"].sum()
+    assert placed.to_dict() == {l: int(c) for l, c in enumerate(count) if c}
+    whole = np.zeros(n, np.int64)
+    for r in rows.itertuples():
+        at = slice(r.first_sequence, r.first_sequence + r.rank_to - r.rank_from)
+        assert (whole[at] == r.offset).all()
+        whole[at] += r.length
+    assert whole.max() <= 4096 and whole.min() > 0 and rows.attrs["bound"] <= n + 1e-6
+    plain = packing.finish(count.copy(), np.zeros(4097, np.int64), [], 0, 4096)
+    assert n <= 1.02 * plain and rows.attrs["priced"] > 0
+
+
+def test_fillings_against_brute_force():
+    rng = np.random.default_rng(8)
+    weight = np.where(rng.random(41) < 0.4, rng.random(41), 0.0)
+    weight[0] = 0
+    best, first = packing.fillings(weight, 40)
+    want = [0.0] * 41
+    for c in range(1, 41):
+        want[c] = max([want[c - 1], *(weight[l] + want[c - l] for l in range(1, c + 1) if weight[l])])
+    assert np.allclose(best, want)
+    for c in range(41):
+        own = packing.filling(first, c)
+        assert sum(own) <= c and np.isclose(sum(weight[l] for l in own), want[c])
+
+
+def test_pieces_in_order(spark):
+    text = "w1 " * 3000
+    rows = packing.pack(frame(spark, [text, None]), 512).toPandas().sort_values(["doc_id", "piece"])
+    ids = tokens.encoder().encode([text.encode()])[0]
+    own = rows[rows["doc_id"] == 0]
+    assert own["piece"].tolist() == list(range(len(own))) and own["start"].tolist() == [512 * k for k in range(len(own))]
+    assert own["ids_crc32"].tolist() == [zlib.crc32(ids[a : a + 512].astype("<u4").tobytes()) for a in own["start"]] and own["length"].sum() == len(ids)
+
+
 def test_chat_round_trip(spark):
     texts = ["</s>[INST] ok [/INST]", "\\", "[\\INST]", "[[INST]", None, "", "a\\[/INST]\\\\</s>"]
     rows = [(k, i, ["user", "assistant", None, "tool"][(i + k) % 4], t, "x") for k in range(3) for i, t in enumerate(texts)]
@@ -143,6 +183,15 @@ def test_chat_round_trip(spark):
         assert (out.loc[k, "loss_chars"], out.loc[k, "loss_sha256"], bool(out.loc[k, "valid_order"])) == (len(loss), hashlib.sha256(loss.encode()).hexdigest(), False)
 
 
+def test_chat_with_another_template(spark):
+    other = chat.Template(turn=(("mark", "<<", False), ("role", "", False), ("mark", "|", False), ("text", "", "trained"), ("mark", ">>", True), ("mark", "##", False)))
+    rows = [(1, 0, "user", "a|b<<>>##", "x"), (1, 1, "assistant", "|<\\", "x")]
+    out = chat.read_back(chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, seq string"), other), other).first()
+    assert (out["n_turns"], out["turns_sha256"], out["valid_order"]) == (2, hashlib.sha256("".join(f"{r[2]}\n{r[3]}\n" for r in rows).encode()).hexdigest(), True)
+    with pytest.raises(ValueError):
+        chat.Reader(chat.Template(turn=(("role", "", False), ("mark", "x", False))))
+
+
 def test_simhash(spark, odd):
     rng = random.Random(9)
     base = [f"v{rng.randrange(500)}" for _ in range(300)]
@@ -259,3 +308,69 @@ def test_one_word_of_a_line_of_140_characters(spark):
     line = " ".join(["planet", "garden", "silver", "window", "bridge", "forest", "marble", "yellow", "castle", "pepper", "rocket", "violet", "basket", "copper", "meadow", "hollow", "tunnel", "dragon", "velvet", "canyon"])
     lines_against_brute_force(spark, [line, line.replace("pepper", "salted")])
     assert line_dedup.SHINGLE == 9
+
+
+def test_simhash_with_more_groups(spark):
+    assert simhash.groups_of(1000) == 7 and simhash.groups_of(10**9) > 8
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**64, 30, np.uint64)
+    fp = np.unique(np.concatenate([base, *(base ^ sum((np.uint64(1) << rng.integers(0, 64, 30, np.uint64) for _ in range(4)), np.uint64(0)) for _ in range(6))]))
+    for groups in (8, 10):
+        chosen = simhash.masks(groups)
+        e = simhash.embed(fp)
+        for a in range(len(fp)):
+            for b in np.flatnonzero(np.bitwise_count(fp ^ fp[a]) <= 4):
+                assert ((e[a] & chosen) == (e[b] & chosen)).any()
+
+
+THUE = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+OTHER = THUE.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_polynomials_confuse(spark):
+    rest = [f"v{i}" for i in range(12)]
+    rows = substring.remove_repeats(frame(spark, [" ".join([THUE, *rest]), " ".join([OTHER, *rest])])).orderBy("doc_id").toPandas()
+    assert rows["n_removed"].tolist() == [0, 0]
+    counts = quality.base_counts([f"{THUE} x y zz {OTHER} x y".encode(), f"{THUE} x y zz {THUE} x y".encode()])
+    assert counts["n_repeat_words"].tolist() == [0, 6]
+    w = [("a" * n).encode() for n in (1, 7, 8, 9, 16, 63, 64, 65, 200)] + [b"b", b"ab", b"ba"]
+    h = [words.hashes(words.split([b" ".join(w)]), k) for k in (0, 1)]
+    assert len(set(h[0])) == len(set(h[1])) == len(w) and not set(h[0]) & set(h[1])
+    again = words.hashes(words.split([b"zz " + w[5], w[7] + b"  " + w[2]]))
+    assert again.tolist()[1:] == [h[0][5], h[0][7], h[0][2]]
+
+
+def test_quality_is_calibrated(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    weights = quality.train(docs.where("doc_id % 3 <> 0"), labels)
+    out = quality.score(docs.where("doc_id % 3 = 0"), weights).join(labels.where("quality is not null"), "doc_id").toPandas()
+    assert abs(out["p_quality"].mean() - out["quality"].mean()) < 0.1
+    assert ((out["p_quality"] - out["quality"]) ** 2).mean() < 0.15
+
+
+def test_gradients_of_the_network():
+    rng = np.random.default_rng(1)
+    net = langid.Network(["a", "b"], hidden=3)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    x, y = rng.integers(0, 256, (6, 5)), rng.integers(0, 2, 5)
+    _, g = net.gradients(x, y)
+    for name in net.p:
+        flat = net.p[name].reshape(-1)
+        for i in np.flatnonzero(np.abs(g[name].reshape(-1)) > 1e-4)[:4]:
+            was, step = flat[i], 1e-2
+            flat[i] = was + step
+            up = net.gradients(x, y)[0]
+            flat[i] = was - step
+            down = net.gradients(x, y)[0]
+            flat[i] = was
+            assert abs((up - down) / (2 * step) - g[name].reshape(-1)[i]) < 2e-3, name
+
+
+def test_decontamination_in_blocks_and_with_names(spark, odd, monkeypatch):
+    items = [("x9", odd[6]), ("x10", " ".join(odd[9].split()[:30])), ("x10", "one"), (None, "a b")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    one = decontaminate.contamination(frame(spark, odd), bench).toPandas().set_index("doc_id")
+    several = decontaminate.automata
+    monkeypatch.setattr(decontaminate, "automata", lambda b, w: several(b, w, most=50))
+    assert decontaminate.contamination(frame(spark, odd), bench).toPandas().set_index("doc_id").equals(one)
+    assert one.loc[6, "items_sha256"] == hashlib.sha256(b"x9").hexdigest() and one.loc[3, "items_sha256"] == hashlib.sha256(b"x10").hexdigest()

@@ -10,8 +10,8 @@ Rows are dealt by conversation and sorted, then streamed: a task holds one turn
 conversation may have any number of turns.
 
 Defined results: null texts are empty; null roles are the empty role, which is never legal; rows
-that repeat a turn stay, ordered by role and text; null conv_id rows form a conversation of their
-own, which is left out; an empty table gives no rows.
+that repeat a turn stay, ordered by role and text; rows without a conv_id belong to no conversation and
+are left out; texts of any length are whole; an empty table gives no rows; further columns play no part.
 """
 
 from __future__ import annotations
@@ -96,11 +96,18 @@ def format_turns(conversations: DataFrame, template: Template = TEMPLATE) -> Dat
 
 
 class Reader:
-    """Reads turns back from segments of one conversation, knowing only texts, flags and the template."""
+    """Reads turns back from segments of one conversation, knowing only texts, flags and the template.
+
+    A template is read by its marks: a turn ends with the last one, and what stands between them is text,
+    role or fixed, in the template's order; it must begin and end with a mark, and have one between role and text.
+    """
 
     def __init__(self, template: Template):
-        self.template = template
-        self.open, self.mid, self.close = template.controls
+        kinds = [k for k, _, _ in template.turn]
+        if kinds[0] != "mark" or kinds[-1] != "mark" or any(a != "mark" != b for a, b in zip(kinds, kinds[1:])):
+            raise ValueError("a template whose turns can't be read back: marks must stand first, last and between")
+        self.template, self.kinds = template, kinds
+        self.close = template.controls[-1]
         self.text, self.turns, self.loss_chars, self.chars, self.legal = "", 0, 0, 0, True
         self.all, self.trained = hashlib.sha256(), hashlib.sha256()
 
@@ -114,10 +121,19 @@ class Reader:
         self.text += text
         while (end := self.text.find(self.close)) >= 0:
             turn, self.text = self.text[:end], self.text[end + len(self.close) :]
-            head, _, body = turn.partition(self.mid)
-            if not head.startswith(self.open):
-                raise ValueError("a turn without its opening mark")
-            self.all.update(f"{unescape(head[len(self.open):])}\n{unescape(body)}\n".encode("utf-8", "surrogatepass"))
+            found = {"role": "", "text": ""}
+            for k, (kind, mark, _) in enumerate(self.template.turn[:-1]):
+                if kind == "mark":
+                    if not turn.startswith(mark):
+                        raise ValueError("a turn without one of its marks")
+                    turn = turn[len(mark) :]
+                else:
+                    after = self.template.turn[k + 1][1]
+                    stop = turn.find(after) if k + 2 < len(self.template.turn) else len(turn)
+                    if stop < 0:
+                        raise ValueError("a turn without one of its marks")
+                    found[kind], turn = unescape(turn[:stop]), turn[stop:]
+            self.all.update(f"{found['role']}\n{found['text']}\n".encode("utf-8", "surrogatepass"))
             self.turns += 1
 
     def row(self, conv: int) -> tuple:

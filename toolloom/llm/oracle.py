@@ -31,3 +31,16 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(c.n_hit, 0)
        sha256(coalesce(q.names, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AND 20 * coalesce(c.n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN q ON q.doc_id = d.doc_id
 """
+
+SQL["op7_chat_format"] = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+      UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')) AS v(conv_id, turn, role, text)),
+e AS (SELECT *, lag(role, 1, '') OVER w AS before, replace(role, '\', '\\') AS r, replace(text, '\', '\\') AS t FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+n AS (SELECT *, 17 + length(r) + len(regexp_extract_all(r, '\[INST\]|\[/INST\]|</s>')) + length(t) + len(regexp_extract_all(t, '\[INST\]|\[/INST\]|</s>')) AS chars,
+      before || '>' || role IN ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user') AS legal FROM e)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars, bool_and(legal) AS valid_order
+FROM n GROUP BY conv_id
+"""
