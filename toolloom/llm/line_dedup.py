@@ -198,8 +198,10 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     marks = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone"))
     kept = F.when(F.col("gone").isNull(), F.array_join("parts", "\n")).otherwise(F.array_join(F.transform(marks, lambda i: F.element_at("parts", i + 1)), "\n"))
     n = F.when(F.col("parts").isNull(), 0).otherwise(F.size("parts"))
-    text = [F.array_join("parts", "\n").alias(c) if c.lower() == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in ADDED]
-    return own.select(*text, n.cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept"))
+    # names of docs come in a step of their own: they could be taken for those used here
+    done = own.select("row", F.array_join("parts", "\n").alias("whole"), n.cast("long").alias("lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("fewer"), kept.alias("rest"))
+    text = [F.col("whole").alias(c) if c.lower() == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in ADDED]
+    return done.select(*text, F.col("lines").alias("n_lines"), F.col("fewer").alias("n_removed"), F.col("rest").alias("kept"))
 
 
 def op10_line_dedup(spark, sf_dir: str) -> DataFrame:
