@@ -92,7 +92,7 @@ def candidates(docs: DataFrame, hits: DataFrame, n: int, block: int = BLOCK) ->
             near = np.zeros(len(w.start), bool)
             base = np.cumsum(w.counts) - w.counts
             for k, i in enumerate(part.tolist()):
-                a, b = np.searchsorted(doc, [ids[i], ids[i] + 1])
+                a, b = np.searchsorted(doc, ids[i], "left"), np.searchsorted(doc, ids[i], "right")
                 hit = pos[a:b]
                 hit = hit[hit < w.counts[k]]  # another text of the same doc_id may be longer
                 # windows that hold the block at p start in p - (window - block) .. p

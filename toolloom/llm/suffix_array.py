@@ -273,7 +273,7 @@ def shards(docs: DataFrame, met: DataFrame, n: int, window: int = WINDOW, gram:
         rows, parts, doc, vs, off, total = [], [], [], [], [], 0
         order = np.lexsort((var, ids))
         for i in order.tolist():
-            a, b = np.searchsorted(hit_doc, [ids[i], ids[i] + 1])
+            a, b = np.searchsorted(hit_doc, ids[i], "left"), np.searchsorted(hit_doc, ids[i], "right")
             t = texts[i]
             if again and again.get((int(ids[i]), digest(t))):
                 continue  # an equal text goes through the steps
