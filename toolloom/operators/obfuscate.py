@@ -25,8 +25,10 @@ def names_used(records: DataFrame, key: str = "uuid") -> DataFrame:
     parts = [tools, F.transform(said, lambda m: m["name"]), F.transform(said, lambda m: m["function_call"]["name"]), F.from_json("target_tools", "array<string>"), F.array("target_tools")]
     prompts = F.filter(F.from_json("messages", "array<struct<role:string,content:string>>"), lambda m: m["role"] == "system")
     declared = F.flatten(F.transform(prompts, lambda m: F.coalesce(F.transform(F.from_json(F.regexp_extract(m["content"], DECLARED, 1), TOOL_NAMES), lambda x: x["function"]["name"]), F.array().cast("array<string>"))))
+    parts.append(declared)
     servers = F.flatten(F.transform(F.from_json("metadata", T.SERVERS)["mcp_servers"], lambda s: F.coalesce(F.transform(s["remote_server_response"]["tools"], lambda t: t["name"]), F.array().cast("array<string>"))))
-    parts += [declared, servers]
+    if "metadata" in records.columns:
+        parts.append(servers)
     if "function_name" in records.columns:
         parts.append(F.array("function_name"))
     both = F.concat(*(F.coalesce(p, F.array().cast("array<string>")) for p in parts))
@@ -38,7 +40,9 @@ def obfuscate(records: DataFrame, aliases: DataFrame, key: str = "uuid") -> Data
     ship(records.sparkSession)
     own = names_used(records, key).join(aliases, "function_name").groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("function_name", "alias"))).alias("_names"))
     both = records.join(own, key, "left")
-    done = {"available_tools": fidelity.rename_tools("available_tools", "_names"), "messages": R.mask_messages("messages", "_names"), "target_tools": fidelity.rename_targets("target_tools", "_names"), "metadata": R.mask_metadata("metadata", "_names")}
+    done = {"available_tools": fidelity.rename_tools("available_tools", "_names"), "messages": R.mask_messages("messages", "_names"), "target_tools": fidelity.rename_targets("target_tools", "_names")}
+    if "metadata" in records.columns:
+        done["metadata"] = R.mask_metadata("metadata", "_names")
     if "function_name" in records.columns:
         done["function_name"] = F.coalesce(F.element_at("_names", F.col("function_name")), "function_name")
     return both.withColumns(done).select(*records.columns)
