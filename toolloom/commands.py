@@ -6,7 +6,7 @@ import os
 import re
 
 FENCE = re.compile(r"^\s*```bash.*?\n(.*?)^\s*```", re.M | re.S)
-#: The tags, by a part of the word behind `#`; the misspelt one counts as well.
+# The tags, by a part of the word behind `#` (the misspelt one counts as well), and the lines of a script.
 TAGS = {"online": "online", "full": "full", "single": "single", "signle": "single"}
 
 
@@ -41,10 +41,11 @@ def commands(readme: str) -> dict[str, list[str]]:
     return out
 
 
+HEAD, NONE = "#!/bin/bash\nset -euo pipefail", "# No commands detected for this mode."
+
+
 def script(found: list[str]) -> str:
-    head = ["#!/bin/bash", "set -euo pipefail", ""]
-    body = [x for c in found for x in (c, "")] or ["# No commands detected for this mode.", ""]
-    return "\n".join([*head, *body]).rstrip() + "\n"
+    return "\n\n".join([HEAD, *(found or [NONE])]).rstrip() + "\n"
 
 
 def write_scripts(readme: str, full: str, single: str) -> dict[str, int]:

@@ -93,5 +93,5 @@ def merge(snapshots: DataFrame, cap: int = CAP) -> DataFrame:
 
 
 def summary(records: int, files: int, calls: int, arguments: int, source_path: str, stats_path: str | None, cap: int, created_at: str) -> dict:
-    """The block `meta` of a pool's file."""
+    """The block `meta` of a pool's file; its names are fixed values."""
     return {"created_at": created_at, "source_path": source_path, "files_count": files, "total_records": records, "total_function_calls": calls, "total_arguments": arguments, "stats_path": stats_path, "max_values_per_cluster": cap}
