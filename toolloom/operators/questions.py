@@ -35,8 +35,10 @@ def distractors(asked: DataFrame, have: DataFrame, profiles: DataFrame, seed: in
     first = named.withColumn("r", F.row_number().over(Window.partitionBy("family").orderBy(X.rank_key(seed, F.col("function_name")), "function_name"))).where(F.col("r") <= k)
     kin = named.join(first.select("family", F.col("function_name").alias("option")), "family").select(F.col("function_name").alias("func"), "option", F.lit(0).alias("tier"), F.lit(0).alias("n"))
     near = mcq.nearest(profiles, k).select(F.col("function_name").alias("func"), F.col("other").alias("option"), F.lit(1).alias("tier"), F.col("rank").alias("n"))
-    some = profiles.orderBy(X.rank_key(seed, F.col("function_name")), "function_name").limit(k).select(F.col("function_name").alias("option"), F.lit(2).alias("tier"), F.lit(0).alias("n"))
-    every = asked.join(kin.unionByName(near), "func").select(*KEY, "func", "needed", "option", "tier", "n").unionByName(asked.join(F.broadcast(some)).select(*KEY, "func", "needed", "option", "tier", "n"))
+    # and of all tools the first k, as a list that every name has: k is small, and calls meet one table of lists
+    some = profiles.select("function_name").orderBy(X.rank_key(seed, F.col("function_name")), "function_name").limit(k).agg(F.collect_list("function_name").alias("options"))
+    rest = named.join(F.broadcast(some)).select(F.col("function_name").alias("func"), F.explode("options").alias("option"), F.lit(2).alias("tier"), F.lit(0).alias("n"))
+    every = asked.join(kin.unionByName(near).unionByName(rest), "func").select(*KEY, "func", "needed", "option", "tier", "n")
     every = every.where("option <> func").join(have.select("uuid", F.col("function_name").alias("option")).distinct(), ["uuid", "option"], "left_anti")
     draw = X.rank_key(seed, F.col("uuid"), F.col("message_index"), F.col("option"))
     own = Window.partitionBy(*KEY, "tier")
