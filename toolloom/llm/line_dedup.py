@@ -6,9 +6,12 @@ their sets of SHINGLE-character shingles (a shorter line is one shingle by itsel
 component of alike lines the first, by doc_id and place, stays.
 
 * Equal lines are one node: their 64-bit hash, with a second hash and the length beside it.
-* Signature: hashes of all SHINGLE-character shingles, the same that verification uses.
+* Signature: hashes of all SHINGLE-character shingles, on which verification rests too.
   One-permutation hashing: the hashes fall into BINS bins by their first bits, the least of a bin is
   its value, and an empty bin borrows from the next that has one (Shrivastava and Li 2014).
+  Lines are cut into parts of PART shingles in four bytes a character, so that a shingle is found
+  without a walk and a part is signed by generated code without lambdas; a line's least values are
+  those of its parts.
 * Banding: BANDS bands of WIDE values.  Lines of a similarity of 0.8 meet with a probability of
   1 - (1 - 0.8^3)^10 = 0.9992.  That holds for short lines too: a band that lies within the bins
   borrowed from shared shingles meets, so a pair is lost only if what differs takes part in every band.
@@ -17,11 +20,15 @@ component of alike lines the first, by doc_id and place, stays.
   components (pairs within a component add nothing to it), in squares of BLOCK lines that are tasks of
   their own, each pair in the first band in which it meets.
   No pair of lines that meet is left out, but for those whose numbers of shingles rule a link out.
+* A bound goes before verification and loses no link: how many distinct shingles fall into each of
+  CELLS cells of hashes, up to DEEP a cell in unary, so that two lines share at most as many as their
+  sketches have common bits, and what both have beyond DEEP.
 * Candidates are verified by the exact similarity of all their shingles; union-find over the links
   gives the components.
 
-Cost: the last step takes time that grows with the square of the lines that share a band and are not
-alike enough to be one component.
+Cost: the pairs whose bounds are compared grow with the square of the lines that share a band and are
+not alike enough to be one component; a comparison is a count of bits in WORDS words.  Only pairs
+that the bound leaves are verified.
 
 Defined results: null texts have no lines and stay null; empty texts are one empty line; a null doc_id
 counts as one after all others; rows that repeat a document have the same lines, and each keeps or
@@ -32,7 +39,10 @@ whatever their names, but for its own three (n_lines, n_removed, kept), which re
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from contextlib import contextmanager
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from toolloom.llm.common import cut, doc_key, table, workspace
@@ -42,6 +52,11 @@ SHINGLE, SIMILARITY = 9, 0.8
 BINS, BANDS, WIDE = 32, 10, 3
 #: Lines of a bucket that are compared all with each other at once, and the side of a square of the rest.
 SMALL, BLOCK, HEADS = 16, 256, 4
+#: Shingles that are signed at once.
+PART = 64
+#: Cells of hashes in a line's sketch, the shingles of a cell that it tells apart, and its 64-bit words.
+CELLS, DEEP = 128, 4
+WORDS = CELLS * DEEP // 64
 #: Characters of the parts in which shingles are taken.
 LONG, MIDDLE, SHORT = 4096, 128, 16
 ADDED = ("n_lines", "n_removed", "kept")
@@ -70,46 +85,85 @@ def shingle_hashes(line: Column) -> Column:
     """Hashes of all shingles in order.
 
     A substring is found by a walk from the start of its text, so lines are cut into ever shorter parts,
-    and the shingles of a short part are one expression without a lambda.
+    and the shingles of a short part are one expression without a lambda.  In bytes, which are the
+    characters of a line in ASCII, there is no walk.
     """
-    parts = F.flatten(F.transform(F.flatten(F.transform(windows(line, LONG), lambda x: windows(x, MIDDLE))), lambda x: windows(x, SHORT)))
-    hashes = F.flatten(F.transform(parts, lambda x: F.array(*(F.xxhash64(F.substring(x, i + 1, SHINGLE)) for i in range(SHORT)))))
-    # what lies beyond the last whole shingle goes
-    return F.when(F.length(line) >= SHINGLE, F.slice(hashes, 1, F.length(line) - SHINGLE + 1)).otherwise(F.array(F.xxhash64(line)))
 
+    def long(text: Column) -> Column:
+        parts = F.flatten(F.transform(F.flatten(F.transform(windows(text, LONG), lambda x: windows(x, MIDDLE))), lambda x: windows(x, SHORT)))
+        hashes = F.flatten(F.transform(parts, lambda x: F.array(*(F.xxhash64(F.substring(x, i + 1, SHINGLE)) for i in range(SHORT)))))
+        # what lies beyond the last whole shingle goes
+        return F.slice(hashes, 1, F.length(text) - SHINGLE + 1)
+
+    return F.when(F.length(line) < SHINGLE, F.array(F.xxhash64(line))).when(F.octet_length(line) == F.length(line), long(line.cast("binary"))).otherwise(long(line))
+
+
+@contextmanager
+def short_methods(spark: SparkSession):
+    """Each operator compiled by itself, its expressions in methods of their own: code of whole stages leaves long lists of expressions in one, and the JVM only interprets methods of over 8000 bytes."""
+    name = "spark.sql.codegen.wholeStage"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def edges(n: int) -> list[int]:
+    """The least hash of each of n (a power of two) equal ranges of hashes."""
+    return [-(1 << 63) + (1 << 64) // n * b for b in range(n)]
 
-def least_of_bins(rows: DataFrame) -> DataFrame:
-    """rows with `least`: of the hashes `hs`, the least of each bin; an empty bin has that of the next one that has any.
 
-    The first hash of each bin is 2^64 / BINS times its number.  Put among the hashes and sorted with them,
-    these marks stand right before the least of their bins.
+def among_edges(rows: DataFrame, hashes: Column, n: int, ways: int) -> DataFrame:
+    """rows with arrays s0, s1, ...: hashes and edges(n) sorted together, an edge right before the hashes of its range, in `ways` pieces of n / ways ranges."""
+    each, marks = n // ways, edges(n)
+    out = rows.withColumn("sorted", F.sort_array(F.concat(hashes, F.array(*map(F.lit, marks)))))
+    out = out.select("*", *(F.array_position("sorted", F.lit(marks[c * each])).cast("int").alias(f"e{c}") for c in range(ways)), (F.size("sorted") + 1).alias(f"e{ways}"))
+    return out.select(*rows.columns, *(F.slice("sorted", F.col(f"e{c}"), F.col(f"e{c + 1}") - F.col(f"e{c}")).alias(f"s{c}") for c in range(ways)))
+
+
+def line_parts(rows: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """k, k2 and `p`, PART shingles of a line in four bytes a character, and the shingles' hashes as columns on p.
+
+    For lines of PART shingles or more; the last part reaches back from the line's end.
     """
-    width = 1 << (64 - (BINS.bit_length() - 1))
-    marks = [-(1 << 63) + width * b for b in range(BINS)]
-    others = [c for c in rows.columns if c != "hs"]
-    out = rows.select(*others, F.sort_array(F.concat("hs", F.array(*map(F.lit, marks)))).alias("sorted"))
-    behind = F.array(*(F.get("sorted", F.array_position("sorted", F.lit(m)).cast("int")) for m in marks))
-    # a mark behind a mark: the bin is empty
-    out = out.select(*others, F.transform(behind, lambda x: F.when(x.bitwiseAND(F.lit(width - 1)) != 0, x)).alias("least"))
-    step = 1
-    while step < BINS:
-        turned = F.concat(F.slice("least", step + 1, BINS - step), F.slice("least", 1, step))
-        borrowed = F.zip_with("least", turned, lambda x, y: F.coalesce(x, y))
-        out = out.withColumn("least", F.when(F.exists("least", lambda x: x.isNull()), borrowed).otherwise(F.col("least")))
-        step *= 2
-    return out
+    whole = 4 * (PART + SHINGLE - 1)
+    last = F.octet_length("wide") - whole + 1
+    at = F.array_distinct(F.concat(F.sequence(F.lit(1), last, F.lit(4 * PART)), F.array(last)))
+    parts = rows.where(F.octet_length("wide") >= whole).select("k", "k2", "wide", F.explode(at).alias("at"))
+    return parts.select("k", "k2", F.substr("wide", "at", F.lit(whole)).alias("p")), [F.xxhash64(F.substring("p", 4 * j + 1, 4 * SHINGLE)) for j in range(PART)]
+
+
+def short_lines(rows: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """The same for lines of fewer shingles: beyond the last one it comes again."""
+    short = rows.where(F.octet_length("wide") < 4 * (PART + SHINGLE - 1)).select("k", "k2", F.col("wide").alias("p"), F.greatest(F.octet_length("wide") - 4 * SHINGLE + 1, F.lit(1)).alias("last"))
+    return short, [F.xxhash64(F.substr("p", F.least(F.lit(4 * j + 1), "last"), F.lit(4 * SHINGLE))) for j in range(PART)]
 
 
 def signed(rows: DataFrame) -> DataFrame:
-    """doc, th, line_no, k, k2 and b0, b1, ... (a value for each band) of each line."""
-    own = least_of_bins(rows.select("doc", "th", "line_no", *node(F.col("line")), shingle_hashes(F.col("line")).alias("hs")))
-    return own.select("doc", "th", "line_no", "k", "k2", *(F.xxhash64(F.lit(b), *(F.get("least", F.lit(WIDE * b + i)) for i in range(WIDE))).alias(f"b{b}") for b in range(BANDS)))
+    """k, k2 and b0, b1, ... (a value for each band) of each distinct line."""
+    rows = rows.select(*node(F.col("line")), F.encode("line", "UTF-32").alias("wide"))
+    each = BINS // 4
+    behind = []
+    for parts, hashes in (line_parts(rows), short_lines(rows)):
+        own = among_edges(parts, F.array(*hashes), BINS, 4)
+        behind.append(own.select("k", "k2", *(F.get(f"s{b // each}", F.array_position(f"s{b // each}", F.lit(m)).cast("int")).alias(f"l{b}") for b, m in enumerate(edges(BINS)))))
+    # an edge behind an edge, or nothing: the bin is empty
+    inside = F.lit((1 << 64) // BINS - 1)
+    out = behind[0].unionByName(behind[1]).groupBy("k", "k2").agg(*(F.min(F.when(F.col(f"l{b}").bitwiseAND(inside) != 0, F.col(f"l{b}"))).alias(f"l{b}") for b in range(BINS)))
+    # an empty bin has the value of the next one that has any: of its own quarter, or the first of the quarters behind
+    stop = lambda b: (b // each + 1) * each
+    own = [f"l{b}" for b in range(BINS)]
+    out = out.select("*", *(F.coalesce(*own[c * each : (c + 1) * each]).alias(f"f{c}") for c in range(4)))
+    out = out.select("k", "k2", *own, *(F.coalesce(*(f"f{(c + i) % 4}" for i in range(4))).alias(f"g{c}") for c in range(4)))
+    out = out.select("k", "k2", *(F.coalesce(*own[b : stop(b)], f"g{stop(b) // each % 4}").alias(f"l{b}") for b in range(BINS)))
+    return out.select("k", "k2", *(F.xxhash64(F.lit(b), *(f"l{WIDE * b + i}" for i in range(WIDE))).alias(f"b{b}") for b in range(BANDS)))
 
 
 def buckets(signatures: DataFrame) -> DataFrame:
     """v, k, m: the bands' values that m > 1 distinct lines share, and these lines by the first of their hashes."""
-    nodes = signatures.groupBy("k", "k2").agg(*(F.min(f"b{b}").alias(f"b{b}") for b in range(BANDS)))
-    dealt = nodes.select(F.explode(F.array(*(f"b{b}" for b in range(BANDS)))).alias("v"), "k")
+    dealt = signatures.select(F.explode(F.array(*(f"b{b}" for b in range(BANDS)))).alias("v"), "k")
     # counted first, so that a value of very many lines is not gathered
     return dealt.join(dealt.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "v").select("v", "k", "m")
 
@@ -130,58 +184,94 @@ def first_pairs(met: DataFrame) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """k, k2, line, n (distinct shingles) of the lines in nodes (k)."""
+    """k, k2, line, n (distinct shingles) and the sketch (w0, w1, ..., and `over`, the shingles beyond DEEP in their cells) of the lines in nodes (k)."""
     rows = lines(docs).select(*node(F.col("line")), "line").join(nodes, "k", "left_semi")
     one = rows.groupBy("k", "k2").agg(F.first("line").alias("line"))
-    return one.select("k", "k2", "line", F.size(F.array_distinct(shingle_hashes(F.col("line")))).alias("n"))
+    one = one.select("k", "k2", "line", F.array_distinct(shingle_hashes(F.col("line"))).alias("hs"))
+    return sketched(one).drop("hs")
+
+
+def sketched(rows: DataFrame) -> DataFrame:
+    """rows with n and the sketch of their distinct hashes `hs`."""
+    names, each = rows.columns, CELLS // 8
+    cut_up = among_edges(rows, F.col("hs"), CELLS, 8)
+    marks = edges(CELLS)
+    at = cut_up.select(*names, *(F.array_position(f"s{c // each}", F.lit(m)).cast("int").alias(f"p{c}") for c, m in enumerate(marks)), *((F.size(f"s{i}") + 1).alias(f"end{i}") for i in range(8)))
+    fall = [(F.col(f"end{c // each}") if c % each == each - 1 else F.col(f"p{c + 1}")) - F.col(f"p{c}") - 1 for c in range(CELLS)]
+    unary = [F.call_function("shiftleft", F.lit(1).cast("long"), F.least(x, F.lit(DEEP))) - 1 for x in fall]
+    per = 64 // DEEP
+    words = [reduce(Column.bitwiseOR, (F.shiftleft(unary[per * w + i], DEEP * i) for i in range(per))).alias(f"w{w}") for w in range(WORDS)]
+    out = at.select(*names, F.size("hs").alias("n"), *words)
+    return out.withColumn("over", F.col("n") - reduce(Column.__add__, (F.bit_count(f"w{w}") for w in range(WORDS))))
+
+
+def could(similarity: float) -> Column:
+    """Whether the sketches of a and b allow them to be alike."""
+    most = reduce(Column.__add__, (F.bit_count(F.col(f"a_w{w}").bitwiseAND(F.col(f"b_w{w}"))) for w in range(WORDS))) + F.least("a_over", "b_over")
+    return F.least(most, "a_n", "b_n") * (1 + similarity) >= similarity * (F.col("a_n") + F.col("b_n")) - 1e-9
+
+
+SKETCH = ["n", "over", *(f"w{w}" for w in range(WORDS))]
+
+
+def ends(texts: DataFrame, names: list[str], x: str) -> DataFrame:
+    return texts.select(F.col("k").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in names))
+
+
+def possible(texts: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs that their sketches do not rule out."""
+    return pairs.join(ends(texts, SKETCH, "a"), "a").join(ends(texts, SKETCH, "b"), "b").where(could(similarity)).select("a", "b")
 
 
 def links(texts: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """a, b (structs of k and k2): pairs at least as alike as `similarity`, by all their shingles."""
-    end = lambda x: texts.select(F.col("k").alias(x), F.struct("k", "k2").alias(f"{x}_node"), F.col("line").alias(f"{x}_line"), F.col("n").alias(f"{x}_n"))
-    both = pairs.join(end("a"), "a").join(end("b"), "b").where(F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n") - 1e-9)
+    names = ["k2", "line", "n"]
+    both = pairs.join(ends(texts, names, "a"), "a").join(ends(texts, names, "b"), "b")
     common = F.size(F.array_intersect(shingle_hashes(F.col("a_line")), shingle_hashes(F.col("b_line"))))
-    counted = both.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_n", "b_n", common.alias("common"))
-    return counted.where(F.col("common") >= similarity * (F.col("a_n") + F.col("b_n") - F.col("common"))).select("a", "b")
+    # said of `common` once, as it is computed wherever it stands
+    alike = common * (1 + similarity) >= similarity * (F.col("a_n") + F.col("b_n")) - 1e-9
+    return both.where(alike).select(*(F.struct(F.col(x).alias("k"), F.col(f"{x}_k2").alias("k2")).alias(x) for x in "ab"))
 
 
 def rest_pairs(met: DataFrame, texts: DataFrame, grouped: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs a < b of large buckets that are not in one component, of numbers of shingles that can be alike.
+    """Pairs a < b of large buckets that are not in one component and that their sketches do not rule out.
 
     grouped: k, k2, component.
     """
     large = met.where(F.col("m") > SMALL)
     # all large buckets of a line, to tell in which one a pair meets first
     every = large.groupBy("k").agg(F.array_sort(F.collect_set("v")).alias("vs"))
-    own = large.join(every, "k").join(texts.select("k", "k2", "n"), "k").join(grouped, ["k", "k2"], "left")
-    own = own.select("v", "vs", "m", "k", "n", F.coalesce("component", F.struct("k", "k2")).alias("c"))
+    own = large.join(every, "k").join(texts.select("k", "k2", *SKETCH), "k").join(grouped, ["k", "k2"], "left")
+    own = own.select("v", "vs", "m", "k", *SKETCH, F.coalesce("component", F.struct("k", "k2")).alias("c"))
     mixed = own.groupBy("v").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("v")
     wide = F.ceil(F.col("m") / BLOCK).cast("int")
     placed = own.join(mixed, "v", "left_semi").withColumn("wide", wide).withColumn("at", F.pmod(F.xxhash64("k"), F.col("wide")).cast("int"))
-    names = lambda x: [F.col("k").alias(x), F.col("c").alias(f"{x}_c"), F.col("n").alias(f"{x}_n"), F.col("vs").alias(f"{x}_vs")]
+    names = lambda x: [F.col("k").alias(x), F.col("c").alias(f"{x}_c"), F.col("vs").alias(f"{x}_vs"), *(F.col(y).alias(f"{x}_{y}") for y in SKETCH)]
     left = placed.select("v", "at", F.explode(F.sequence("at", F.col("wide") - 1)).alias("to"), *names("a"))
     right = placed.select("v", F.col("at").alias("to"), F.explode(F.sequence(F.lit(0), "at")).alias("at"), *names("b"))
-    alike = F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n") - 1e-9
     once = ((F.col("at") != F.col("to")) | (F.col("a") < F.col("b"))) & (F.array_min(F.array_intersect("a_vs", "b_vs")) == F.col("v"))
-    return ordered(left.join(right, ["v", "at", "to"]).where((F.col("a_c") != F.col("b_c")) & alike & once))
+    return ordered(left.join(right, ["v", "at", "to"]).where((F.col("a_c") != F.col("b_c")) & could(similarity) & once))
 
 
 def line_flags(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc, th, gone: the numbers of the lines that go, ascending, for documents that lose any."""
-    with workspace(docs.sparkSession) as own:
-        signatures = own(signed(lines(docs)))
+    spark = docs.sparkSession
+    with workspace(spark) as own:
+        with short_methods(spark):
+            signatures = own(signed(lines(docs)))
         met = own(buckets(signatures))
         pairs = own(first_pairs(met))
         needed = pairs.select(F.explode(F.array("a", "b")).alias("k")).union(met.where(F.col("m") > SMALL).select("k")).distinct()
-        texts = own(texts_of(docs, needed))
-        linked = own(links(texts, pairs, similarity))
+        with short_methods(spark):
+            texts = own(texts_of(docs, needed))
+        linked = own(links(texts, own(possible(texts, pairs, similarity)), similarity))
         grouped = components(linked).select("node.k", "node.k2", "component")
         if not met.where(F.col("m") > SMALL).isEmpty():
-            more = own(links(texts, rest_pairs(met, texts, grouped, similarity), similarity))
+            more = own(links(texts, own(rest_pairs(met, texts, grouped, similarity)), similarity))
             if not more.isEmpty():
                 grouped = components(linked.unionByName(more)).select("node.k", "node.k2", "component")
         # what has no link is its own component
-        rows = signatures.select("doc", "th", "line_no", "k", "k2").join(grouped, ["k", "k2"], "left")
+        rows = lines(docs).select("doc", "th", "line_no", *node(F.col("line"))).join(grouped, ["k", "k2"], "left")
         rows = rows.select(F.struct("doc", "line_no", "th").alias("place"), F.coalesce("component", F.struct("k", "k2")).alias("component"))
         stays = rows.groupBy("component").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("component", "first")
         lost = rows.join(stays, "component").where("place <> first")
