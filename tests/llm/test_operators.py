@@ -298,6 +298,12 @@ def test_lines_of_one_template(spark):
     lines_against_brute_force(spark, texts, 50)
 
 
+def test_shared_shingles_are_counted_once(spark):
+    texts = spark.range(3).selectExpr("id k", "id k2", "concat('a line of some words ', id) line", "15 n")
+    plan = line_dedup.links(texts, spark.createDataFrame([(0, 1)], "a long, b long"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_intersect(") == 1
+
+
 def test_short_lines_edited_at_an_end(spark):
     base = ["newsletter subscription", "frequently asked questions", "telecommunications", "read more about the terms of use", "copyright notice and disclaimer of warranty"]
     texts = [v for t in base for v in (t, t + "!", t + "\r", "\u2022" + t, t[: len(t) // 2] + "-" + t[len(t) // 2 :])]

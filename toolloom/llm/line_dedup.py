@@ -141,8 +141,9 @@ def links(texts: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) ->
     end = lambda x: texts.select(F.col("k").alias(x), F.struct("k", "k2").alias(f"{x}_node"), F.col("line").alias(f"{x}_line"), F.col("n").alias(f"{x}_n"))
     both = pairs.join(end("a"), "a").join(end("b"), "b").where(F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n") - 1e-9)
     common = F.size(F.array_intersect(shingle_hashes(F.col("a_line")), shingle_hashes(F.col("b_line"))))
-    counted = both.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_n", "b_n", common.alias("common"))
-    return counted.where(F.col("common") >= similarity * (F.col("a_n") + F.col("b_n") - F.col("common"))).select("a", "b")
+    # `common` stands here once: a filter computes it wherever it is named
+    alike = common * (1 + similarity) >= similarity * (F.col("a_n") + F.col("b_n")) - 1e-9
+    return both.where(alike).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
 def rest_pairs(met: DataFrame, texts: DataFrame, grouped: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
