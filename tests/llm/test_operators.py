@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
-from toolloom.llm import chat, decontaminate, langid, line_dedup, packing, quality, simhash, substring, suffix_array, token_files, tokens, words
+from toolloom.llm import chat, common, decontaminate, langid, line_dedup, packing, quality, simhash, substring, suffix_array, token_files, tokens, words
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, home int, bucket int, label string"
@@ -304,6 +304,42 @@ def test_shared_shingles_are_counted_once(spark):
     assert plan.count("array_intersect(") == 1
 
 
+def family(rng, n, words, edits):
+    """Lines of one template, each with some words of its own."""
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    base = [word() for _ in range(words)]
+    for _ in range(n):
+        w = list(base)
+        for k in rng.sample(range(words), rng.choice(edits)):
+            w[k] = word()
+        yield " ".join(w)
+
+
+def test_lines_of_one_template_that_are_not_alike_are_not_verified(spark):
+    docs = frame(spark, list(family(random.Random(5), 200, 70, (3, 4))))
+    with common.workspace(spark) as own:
+        met = own(line_dedup.buckets(line_dedup.signed(line_dedup.lines(docs))))
+        assert met.where(F.col("m") > 100).count() > 0
+        texts = own(line_dedup.texts_of(docs, met.select("k").distinct()))
+        alone = spark.createDataFrame([], "k long, k2 long, component struct<k: long, k2: long>")
+        assert line_dedup.rest_pairs(met, texts, alone).count() < 200 * 199 / 2 / 10
+
+
+def test_bound_of_lines_rules_out_no_link(spark):
+    rng = random.Random(6)
+    texts = ["a", "b", "ab", *family(rng, 40, 3, (0, 1)), *family(rng, 60, 45, (0, 1, 2)), *family(rng, 60, 70, range(9)), *family(rng, 20, 700, range(0, 90, 5))]
+    texts += ["na " * n for n in (5, 6, 40, 400)]  # few distinct shingles
+    size = line_dedup.SHINGLE
+    sets = [{t[k : k + size] for k in range(max(1, len(t) - size + 1))} for t in texts]
+    alike = {(a, b) for b in range(len(texts)) for a in range(b) if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])}
+    rows = spark.createDataFrame(list(enumerate(texts)), "k long, line string")
+    texts_of = line_dedup.celled(rows.select("k", F.array_distinct(line_dedup.shingle_hashes(F.col("line"))).alias("hs"))).cache()
+    every = rows.select(F.col("k").alias("a")).crossJoin(rows.select(F.col("k").alias("b"))).where("a < b")
+    left = set(map(tuple, line_dedup.possible(texts_of, every).collect()))
+    assert {r["k"]: r["n"] for r in texts_of.collect()} == {i: len(x) for i, x in enumerate(sets)}
+    assert len(alike) > 300 and alike <= left and len(left) < len(texts) * (len(texts) - 1) / 4
+
+
 def test_short_lines_edited_at_an_end(spark):
     base = ["newsletter subscription", "frequently asked questions", "telecommunications", "read more about the terms of use", "copyright notice and disclaimer of warranty"]
     texts = [v for t in base for v in (t, t + "!", t + "\r", "\u2022" + t, t[: len(t) // 2] + "-" + t[len(t) // 2 :])]
