@@ -108,18 +108,22 @@ def drop_variants(args: DataFrame) -> DataFrame:
     return right.unionByName(less.select(*key, "dropped", text(F.filter("a", lambda p: p["param"] != F.col("dropped"))).alias("option")))
 
 
-def value_options(args: DataFrame, picks: DataFrame, negatives: int, seed: int) -> DataFrame:
-    """uuid, message_index, position, option, is_answer from left-out and replaced arguments.
+def value_options(args: DataFrame, negatives: int, seed: int) -> DataFrame:
+    """uuid, message_index, option, is_answer, position, letter from left-out and replaced arguments.
 
-    picks: uuid, message_index, param, other.  Distinct wrong texts are drawn by hash.
+    args: uuid, message_index, param, value (text), others (texts for its place, or null).  Distinct wrong texts are
+    drawn by hash.  A call is one row until its options are drawn.  Calls without a uuid have no question.
     """
     key = ["uuid", "message_index"]
-    dropped = drop_variants(args)
-    own = args.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("param", "value"))).alias("a"))
-    changed = own.join(picks, key).select(*key, F.array_join(F.transform("a", lambda p: F.concat(p["param"], F.lit("="), F.when(p["param"] == F.col("param"), F.col("other")).otherwise(p["value"]))), "; ").alias("option"))
-    right = dropped.where("dropped is null").select(*key, F.col("option").alias("right"))
-    wrong = dropped.where("dropped is not null").select(*key, "option").unionByName(changed).distinct().join(right, key).where("option <> right")
-    w = Window.partitionBy(*key).orderBy(X.rank_key(seed, F.col("uuid"), F.col("message_index"), F.col("option")), "option")
-    few = wrong.withColumn("r", F.row_number().over(w)).where(F.col("r") <= negatives)
-    rows = few.select(*key, "option", F.lit(False).alias("is_answer")).unionByName(few.select(*key, F.col("right").alias("option"), F.lit(True).alias("is_answer")).distinct())
-    return shuffled(rows, key, seed)
+    own = args.where("uuid is not null and message_index is not null").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("param", "value", "others"))).alias("a"))
+    text = lambda x, value=lambda p: p["value"]: F.array_join(F.transform(x, lambda p: F.concat(p["param"], F.lit("="), value(p))), "; ")
+    none = F.array().cast("array<string>")
+    less = F.when(F.size("a") > 1, F.transform("a", lambda p: text(F.filter("a", lambda q: q["param"] != p["param"])))).otherwise(none)
+    changed = F.flatten(F.transform("a", lambda p: F.transform(F.coalesce(p["others"], none), lambda o: text(F.col("a"), lambda q: F.when(q["param"] == p["param"], o).otherwise(q["value"])))))
+    by_hash = lambda xs, salt: F.transform(F.array_sort(F.transform(xs, lambda x: F.struct(X.rank_key(salt, *(F.col(c) for c in key), x).alias("key"), x.alias("option")))), lambda x: x["option"])
+    all_ = own.select(*key, text(F.col("a")).alias("right"), F.array_distinct(F.concat(less, changed)).alias("wrong"))
+    few = all_.select(*key, "right", F.slice(by_hash(F.filter("wrong", lambda x: x != F.col("right")), seed), 1, negatives).alias("few"))
+    rows = few.select(*key, "right", F.when(F.size("few") > 0, by_hash(F.array_append("few", F.col("right")), f"{seed}s")).alias("options"))
+    # outer, as else Spark computes the lists once more to filter the calls
+    each = rows.select(*key, "right", F.posexplode_outer("options").alias("position", "option")).where("option is not null")
+    return each.select(*key, "option", (F.col("option") == F.col("right")).alias("is_answer"), "position", X.letter(F.col("position")).alias("letter"))

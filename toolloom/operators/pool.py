@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CAP = 120
+#: Bytes of a level's values, 32 more for each, up to which drawn() broadcasts it.
+BROADCAST_BYTES = 32_000_000
 
 
 def observed(args: DataFrame) -> DataFrame:
@@ -33,19 +35,35 @@ def cluster_counts(args: DataFrame, keys: list[str], cap: int = CAP) -> DataFram
     return per.groupBy(*keys, "cluster").agg(F.sum("n").alias("occurrences"), F.sum(F.least("d", F.lit(cap))).alias("merged_count"))
 
 
+def drawn(args: DataFrame, pool: DataFrame, seed: int, most: int) -> DataFrame:
+    """args with level_rank and others: up to `most` other values, by hash, from the first level of the pool that has any.
+
+    args: uuid, message_index, func, param, p_type, value, and any more.  pool: level_rank (0 function, 1 param, 2 type),
+    func, param, p_type, value.  Each entry of the pool is one list, and an argument stays one row, whatever the pool
+    holds.  Levels of up to BROADCAST_BYTES are broadcast, as a few keys may have all arguments.
+    """
+    sizes = dict(pool.groupBy("level_rank").agg(F.sum(F.octet_length("value") + 32)).collect())
+    key = lambda x: F.md5(F.concat_ws("|", F.lit(str(seed)), "uuid", "message_index", "param", x).cast("binary"))
+    found = args.withColumn("others", F.array().cast("array<string>")).withColumn("level_rank", F.lit(None).cast("int"))
+    for level, on in enumerate((["func", "param"], ["param"], ["p_type"])):
+        own = pool.where(F.col("level_rank") == level).groupBy(*(F.col(c).alias(f"_{c}") for c in on)).agg(F.collect_set("value").alias("_values"))
+        own = F.broadcast(own) if (sizes.get(level) or 0) <= BROADCAST_BYTES else own
+        both = found.join(own, [F.col(c) == F.col(f"_{c}") for c in on], "left")
+        ranked = F.array_sort(F.transform(F.filter("_values", lambda x: x != F.col("value")), lambda x: F.struct(key(x).alias("key"), x.alias("other"))))
+        own_others = F.coalesce(F.transform(F.slice(ranked, 1, most), lambda x: x["other"]), F.array().cast("array<string>"))
+        had = F.size("others") > 0
+        both = both.withColumns({"others": F.when(had, F.col("others")).otherwise(own_others), "level_rank": F.when(had, F.col("level_rank")).otherwise(F.lit(level))})
+        found = both.select(*args.columns, "others", "level_rank")
+    return found
+
+
 def substitutes(args: DataFrame, pool: DataFrame, seed: int, most: int) -> DataFrame:
-    """For each argument up to `most` other values from the first level of the pool that has any.
+    """For each argument up to `most` other values from the first level of the pool that has any, one a row.
 
-    pool: level_rank (0 function, 1 param, 2 type), func, param, p_type, value.  Draws are by hash.
+    As drawn(), where arguments of one uuid, message_index and param count as one.
     """
-    arg = args.select("uuid", "message_index", "func", "param", "p_type", "value")
-    keys = ({"func": "func", "param": "param"}, {"param": "param"}, {"p_type": "p_type"})
-    found = None
-    for level, on in enumerate(keys):
-        own = pool.where(F.col("level_rank") == level).select(*(F.col(c).alias(f"_{c}") for c in on), F.col("value").alias("other"))
-        cond = [F.col(c) == F.col(f"_{c}") for c in on] + [F.col("value") != F.col("other")]
-        part = arg.join(own, cond).select(*arg.columns, "other", F.lit(level).alias("level_rank"))
-        found = part if found is None else found.unionByName(part)
+    arg = drawn(args.select("uuid", "message_index", "func", "param", "p_type", "value"), pool, seed, most)
+    found = arg.select("*", F.explode("others").alias("other")).drop("others")
     w = Window.partitionBy("uuid", "message_index", "param")
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), "uuid", "message_index", "param", "other").cast("binary"))
     first = found.withColumn("least", F.min("level_rank").over(w)).where("level_rank = least").dropDuplicates(["uuid", "message_index", "param", "other"])

@@ -219,12 +219,13 @@ def drop_argument_variants(spark, d):
     return mcq.drop_variants(L.two_args(spark, d))
 
 
-def _picks(spark, d, most=3) -> DataFrame:
+def _drawn(spark, d, most=3) -> DataFrame:
     a = L.call_args(spark, d)
-    # the pool is capped by its keys, levels and clusters
-    own = lambda keys, level: pool.values(a, keys, 8).select(F.lit(level).alias("level_rank"), *(F.col(c) if c in keys else F.lit(None).cast("string").alias(c) for c in ("func", "param", "p_type")), "value")
+    # the pool is capped by its keys, levels and clusters; the three levels are made from one pass
+    once = a.groupBy("func", "param", "p_type", "cluster", "value").agg(F.min("ord").alias("ord"))
+    own = lambda keys, level: pool.values(once, keys, 8).select(F.lit(level).alias("level_rank"), *(F.col(c) if c in keys else F.lit(None).cast("string").alias(c) for c in ("func", "param", "p_type")), "value")
     p = own(["func", "param"], 0).unionByName(own(["param"], 1)).unionByName(own(["p_type"], 2))
-    return pool.substitutes(a, p, SEED, most)
+    return pool.drawn(a.select("uuid", "message_index", "func", "param", "p_type", "value"), p, SEED, most)
 
 
 PICKS = f"{CALLS}, a AS (SELECT func, {CLUSTER} AS cluster, k, min(event_id) AS f FROM calls GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER (PARTITION BY func, cluster ORDER BY f, CAST(k AS VARCHAR)) AS value_rank FROM a), p AS (SELECT func, CAST(k AS VARCHAR) AS other FROM r WHERE value_rank <= 8), s AS (SELECT c.uuid, c.message_index, 'k' AS param, CAST(c.k AS VARCHAR) AS value, p.other FROM calls c JOIN p ON p.func = c.func AND p.other <> CAST(c.k AS VARCHAR)), t AS (SELECT *, row_number() OVER (PARTITION BY uuid, message_index, param ORDER BY md5('42|' || CAST(uuid AS VARCHAR) || '|' || CAST(message_index AS VARCHAR) || '|' || param || '|' || other), other) AS pick FROM s), picks AS (SELECT * FROM t WHERE pick <= 3)"
@@ -232,7 +233,9 @@ PICKS = f"{CALLS}, a AS (SELECT func, {CLUSTER} AS cluster, k, min(event_id) AS
 
 @query(f"WITH {PICKS} SELECT uuid, message_index, param, value, other, pick FROM picks")
 def pool_substitution_variants(spark, d):
-    return _picks(spark, d).select("uuid", "message_index", "param", "value", "other", "pick")
+    # a call has k once; outer, as else Spark draws twice to filter the calls
+    each = _drawn(spark, d).select("uuid", "message_index", "param", "value", F.posexplode_outer("others").alias("place", "other")).where("other is not null")
+    return each.select("uuid", "message_index", "param", "value", "other", (F.col("place") + 1).alias("pick"))
 
 
 VALUES = f"""WITH {PICKS}, b AS (SELECT uuid, message_index, 'half=' || CAST(k // 2 AS VARCHAR) AS h, 'k=' || CAST(k AS VARCHAR) AS x FROM calls),
@@ -243,7 +246,8 @@ opt AS (SELECT uuid, message_index, option, false AS is_answer FROM ranked WHERE
 
 @query(VALUES + SHUFFLED)
 def param_values_mcq(spark, d):
-    return mcq.value_options(L.two_args(spark, d), _picks(spark, d).select("uuid", "message_index", "param", "other"), 4, SEED)
+    a = L.halved(_drawn(spark, d)).withColumn("others", F.when(F.col("param") == "k", F.col("others")))
+    return mcq.value_options(a, 4, SEED)
 
 
 @query("SELECT CAST(n_nationkey + 3 AS INT) AS position, CASE WHEN n_nationkey + 3 < 26 THEN chr(CAST(n_nationkey + 3 + 65 AS INT)) ELSE 'Option' || CAST(n_nationkey + 4 AS VARCHAR) END AS letter FROM nation")
